@@ -1,6 +1,6 @@
 """The catalogue of registered queries."""
 
-from modsieve.catalog import folding, validation  # noqa: F401  (registration)
+from modsieve.catalog import folding, profiling, reshaping, validation  # noqa: F401  (registration)
 from modsieve.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
