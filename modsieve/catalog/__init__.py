@@ -1,6 +1,6 @@
 """The catalogue of registered queries."""
 
-from modsieve.catalog import augmenting, folding, profiling, prompting, reshaping, validation  # noqa: F401  (registration)
+from modsieve.catalog import augmenting, folding, mining, profiling, prompting, reshaping, scoring, storage, validation  # noqa: F401  (registration)
 from modsieve.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

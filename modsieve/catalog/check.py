@@ -80,7 +80,7 @@ def main(argv: list[str]) -> int:
 
     sf_dir, names = argv[0], argv[1:] or list(QUERIES)
     spark = local_session(8)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     failed = 0
     for name in names:
