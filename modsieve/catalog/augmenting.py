@@ -70,19 +70,19 @@ def _(spark, sf):
     return A.url_bank(linked(spark, sf), "body", KEY)
 
 
-def _draws_sql() -> str:
-    """Five draws, each taking the top place where it repeats an earlier one."""
-    def drawn(i):
-        hashed = md5_of("url", f"row_id, {i}")
-        return f"floor({uniform_sql(hashed)} * (total - k + {i}))::BIGINT"
-
-    steps, columns = [], "row_id, k, total"
-    for i in range(1, 6):
-        source = f"d{i - 1}"
-        taken = " OR ".join(f"{drawn(i)} = p{j}" for j in range(1, i)) or "false"
-        steps.append(f"d{i} AS (SELECT *, CASE WHEN {taken} THEN total - k + {i} - 1 ELSE {drawn(i)} END AS p{i} FROM {source})")
-        columns += f", p{i}"
-    return ",\n".join(steps)
+def draws_sql(source: str, most: int, op: str, key: str = "row_id") -> str:
+    """Steps ``d1``..: draw ``i`` is uniform below ``total - k + i``; a repeat takes the top place."""
+    steps = []
+    for i in range(1, most + 1):
+        drawn = f"floor({uniform_sql(md5_of(op, f'{key}, {i}'))} * (total - k + {i}))::BIGINT"
+        taken = " OR ".join(f"{drawn} = p{j}" for j in range(1, i)) or "false"
+        steps.append(
+            f"d{i} AS (SELECT *, CASE WHEN {taken} THEN total - k + {i} - 1 ELSE {drawn} END AS p{i} FROM {source if i == 1 else f'd{i - 1}'})"
+        )
+    flat = " UNION ALL ".join(
+        f"SELECT {key}, {i} AS i, p{i} AS place FROM d{most} WHERE k >= {i} AND k <= total" for i in range(1, most + 1)
+    )
+    return ",\n".join([*steps, f"flat AS ({flat})"])
 
 
 @query(
@@ -92,10 +92,7 @@ def _draws_sql() -> str:
         BANK
         + f""", cards AS (SELECT url, row_number() OVER (ORDER BY {md5_of('bank', 'row_id, slot')}, row_id, slot) - 1 AS place FROM bank),
         d0 AS (SELECT row_id, (SELECT count(*) FROM bank) AS total, 1 + floor({uniform_sql(md5_of('urls'))} * 5)::BIGINT AS k FROM linked),
-        {_draws_sql()},
-        flat AS (SELECT row_id, 1 AS i, p1 AS place FROM d5 WHERE k >= 1 AND k <= total UNION ALL SELECT row_id, 2, p2 FROM d5 WHERE k >= 2 AND k <= total
-                 UNION ALL SELECT row_id, 3, p3 FROM d5 WHERE k >= 3 AND k <= total UNION ALL SELECT row_id, 4, p4 FROM d5 WHERE k >= 4 AND k <= total
-                 UNION ALL SELECT row_id, 5, p5 FROM d5 WHERE k >= 5 AND k <= total),
+        {draws_sql('d0', 5, 'url')},
         tails AS (SELECT row_id, string_agg(url, ' ' ORDER BY i) AS tail FROM flat JOIN cards USING (place) GROUP BY row_id)""",
         "SELECT row_id, body || coalesce(' ' || tail, '') AS body FROM linked LEFT JOIN tails USING (row_id)",
     ),
@@ -125,9 +122,12 @@ SPLIT_WORDS = f"string_split_regex(body, {quoted(f'[{SPACE}]+')})"
     "append_random_words",
     with_tables(
         "reviews",
-        "",
-        f"""SELECT row_id, body || array_to_string(({shuffled_sql(SPLIT_WORDS, 'word')})[1:5 + floor({uniform_sql(md5_of('words'))} * 10)::INTEGER], ' ') AS body
-            FROM reviews""",
+        f"""w AS (SELECT row_id, body, {SPLIT_WORDS} AS words FROM reviews),
+        d0 AS (SELECT row_id, len(words) AS total, least(len(words), 5 + floor({uniform_sql(md5_of('words'))} * 10)::BIGINT) AS k FROM w),
+        {draws_sql('d0', 14, 'word')},
+        tails AS (SELECT row_id, string_agg(words[place + 1], ' ' ORDER BY {md5_of('word order', 'row_id, place')}, place) AS tail
+                  FROM flat JOIN w USING (row_id) GROUP BY row_id)""",
+        "SELECT row_id, body || tail AS body FROM reviews JOIN tails USING (row_id)",
     ),
 )
 def _(spark, sf):
@@ -139,13 +139,15 @@ def _(spark, sf):
     with_tables(
         "reviews lexicon",
         f"""w AS (SELECT row_id, {SPLIT_WORDS} AS words FROM reviews),
-        sized AS (SELECT *, least(3, len(words)) + floor({uniform_sql(md5_of('swaps'))} * (least(10, len(words)) - least(3, len(words)) + 1))::BIGINT AS k FROM w),
-        flat AS (SELECT row_id, k, unnest(words) AS word, unnest(range(len(words))) AS i FROM sized),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY {md5_of('swap', 'row_id, i')}, i) AS rn FROM flat),
-        swapped AS (SELECT row_id, i, CASE WHEN rn <= k AND length(r.word) <= 10 AND phones IS NOT NULL
+        d0 AS (SELECT row_id, len(words) AS total,
+                      least(3, len(words)) + floor({uniform_sql(md5_of('swaps'))} * (least(10, len(words)) - least(3, len(words)) + 1))::BIGINT AS k FROM w),
+        {draws_sql('d0', 10, 'swap')},
+        words_of AS (SELECT row_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM w),
+        swapped AS (SELECT r.row_id, r.place, CASE WHEN f.place IS NOT NULL AND length(r.word) <= 10 AND phones IS NOT NULL
                        THEN lower(regexp_replace(phones, '[{SPACE}\\p{{Nd}}]', '', 'g')) ELSE r.word END AS word
-                    FROM ranked r LEFT JOIN lexicon l ON l.word = lower(r.word))""",
-        "SELECT row_id, string_agg(word, ' ' ORDER BY i) AS body FROM swapped GROUP BY row_id",
+                    FROM words_of r LEFT JOIN flat f ON f.row_id = r.row_id AND f.place = r.place
+                    LEFT JOIN lexicon l ON l.word = lower(r.word))""",
+        "SELECT row_id, string_agg(word, ' ' ORDER BY place) AS body FROM swapped GROUP BY row_id",
     ),
 )
 def _(spark, sf):

@@ -68,7 +68,7 @@ def _(spark, sf):
     return out
 
 
-QUICK = TrainParams(max_iter=10)
+QUICK = TrainParams(buckets=1 << 14, max_iter=10)
 
 
 @query("train_text_classifier")
@@ -88,7 +88,7 @@ def _(spark, sf):
 @query("score_many")
 def _(spark, sf):
     train = reviews(spark, sf)
-    augmented = TrainParams(max_iter=10, augments=(("sentence_shuffle", 0.5),), augment_frac=0.5)
+    augmented = TrainParams(buckets=1 << 14, max_iter=10, augments=(("sentence_shuffle", 0.5),), augment_frac=0.5)
     models = {"base": train_text_classifier(train, QUICK), "augmented": train_text_classifier(train, augmented)}
     return score_many(models, reviews_test(spark, sf)).withColumn("prediction", F.round("prediction", 4))
 

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 # plain \s is ASCII-only here.
 SPACE = r"\t-\r\x1c-\x20\x{85}\p{Z}"
 WORD = r"\p{L}\p{N}_"
+# The same white space, one by one.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # What counts as a URL, for cleaning and for everything else.
 URL_TO_CLEAN = r'https?://[^' + SPACE + r'<>"{}|\\^`\[\]]+'
@@ -32,7 +37,7 @@ def word_count(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(col, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def tokens(col: Column) -> Column:

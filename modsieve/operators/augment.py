@@ -36,6 +36,30 @@ def shuffled(parts: Column, seed: int, op: str, key: Key) -> Column:
     return F.transform(F.array_sort(ranked), lambda r: r["part"])
 
 
+def distinct_draws(total: Column | str, count: Column | str, most: int, hashed: Callable[[Column], Column]) -> Column:
+    """``count`` (at most ``most``) different places below ``total``; none if there are fewer.
+
+    Floyd's sampling: draw ``i`` is uniform below ``total - count + i``, and a repeat
+    takes the top place. ``hashed`` gives the hash of draw ``i``. ``total`` and
+    ``count`` should be columns of the table, as every draw reads them.
+    """
+    total, count = (F.col(c) if isinstance(c, str) else c for c in (total, count))
+    free = total - count
+
+    def draw(i: Column) -> Column:
+        return F.floor(uniform(hashed(i)) * (free + i))
+
+    drawn = F.transform(F.sequence(F.lit(1), F.lit(most)), lambda i: F.struct(i.alias("i"), draw(i).alias("place")))
+    taken = F.aggregate(
+        F.filter(drawn, lambda d: d["i"] <= count),
+        F.array().cast("array<bigint>"),
+        lambda places, d: F.array_append(
+            places, F.when(F.array_contains(places, d["place"]), free + d["i"] - 1).otherwise(d["place"])
+        ),
+    )
+    return F.when(free >= 0, taken).otherwise(F.array().cast("array<bigint>"))
+
+
 def sentence_shuffle(df: DataFrame, col: str, seed: int, key: Key) -> DataFrame:
     """Cut at sentence ends and line breaks, shuffle, join with ``". "``."""
     parts = F.split(F.col(col), rf"(?:\.[{T.SPACE}]|\n)+", -1)
@@ -43,10 +67,17 @@ def sentence_shuffle(df: DataFrame, col: str, seed: int, key: Key) -> DataFrame:
 
 
 def append_random_words(df: DataFrame, col: str, seed: int, key: Key) -> DataFrame:
-    """Append 5-14 of the text's own words, right after its last character."""
-    words = shuffled(F.split(F.col(col), rf"[{T.SPACE}]+", -1), seed, "word", key)
-    count = between(seeded(seed, "words", *key), *WORDS_APPENDED)
-    return df.withColumn(col, F.concat(col, F.array_join(F.slice(words, F.lit(1), count), " ")))
+    """Append 5-14 of the text's own words in random order, right after its last character."""
+    most = WORDS_APPENDED[1]
+    cut = df.withColumn("__words", F.split(F.col(col), rf"[{T.SPACE}]+", -1)).withColumn("__n", F.size("__words"))
+    wanted = between(seeded(seed, "words", *key), *WORDS_APPENDED)
+    cut = cut.withColumn("__k", F.least(F.col("__n"), wanted))
+    places = distinct_draws("__n", "__k", most, lambda i: seeded(seed, "word", *key, i))
+    ordered = F.array_sort(
+        F.transform(places, lambda p: F.struct(seeded(seed, "word order", *key, p).alias("h"), p.alias("p")))
+    )
+    words = F.transform(ordered, lambda r: F.get("__words", r["p"]))
+    return cut.withColumn(col, F.concat(col, F.array_join(words, " "))).select(df.columns)
 
 
 def url_clean(df: DataFrame, col: str) -> DataFrame:
@@ -74,22 +105,8 @@ def append_random_urls(df: DataFrame, col: str, bank: DataFrame, seed: int, key:
     drawn = df.select(*key, total.alias("__total")).withColumn(
         "__k", between(seeded(seed, "urls", *key), *URLS_APPENDED).cast("long")
     )
-    first_free = F.col("__total") - F.col("__k")
-    # Floyd's sampling: draw i is uniform below total-k+i, a repeat takes the top place.
-    places = F.aggregate(
-        F.sequence(F.lit(1), F.lit(URLS_APPENDED[1])),
-        F.array().cast("array<bigint>"),
-        lambda taken, i: F.when(i > F.col("__k"), taken).otherwise(
-            F.array_append(
-                taken,
-                F.when(
-                    F.array_contains(taken, F.floor(uniform(seeded(seed, "url", *key, i)) * (first_free + i))),
-                    first_free + i - 1,
-                ).otherwise(F.floor(uniform(seeded(seed, "url", *key, i)) * (first_free + i))),
-            )
-        ),
-    )
-    draws = drawn.filter(first_free >= 0).select(*key, F.posexplode(places).alias("__slot", "__place"))
+    places = distinct_draws("__total", "__k", URLS_APPENDED[1], lambda i: seeded(seed, "url", *key, i))
+    draws = drawn.select(*key, F.posexplode(places).alias("__slot", "__place"))
     ordered = F.array_sort(F.collect_list(F.struct("__slot", "url")))  # at most five per row
     tails = draws.join(cards, "__place").groupBy(*key).agg(ordered.alias("__urls"))
     tail = F.array_join(F.transform("__urls", lambda u: u["url"]), " ")
@@ -110,13 +127,14 @@ def phonetic_swap(df: DataFrame, col: str, lexicon: DataFrame, seed: int, key: K
     low, high = WORDS_SWAPPED
     size = F.size("__words")
     count = between(seeded(seed, "swaps", *key), F.least(F.lit(low), size), F.least(F.lit(high), size))
-    order = F.transform("__words", lambda w, i: F.struct(seeded(seed, "swap", *key, i).alias("h"), i.alias("i")))
-    chosen = F.transform(F.slice(F.array_sort(order), F.lit(1), count), lambda r: r["i"])
+    places = distinct_draws("__n", "__k", high, lambda i: seeded(seed, "swap", *key, i))
     picks = (
         df.filter(F.col(col).isNotNull())
         .select(*key, words.alias("__words"))
-        .select(*key, "__words", F.explode(chosen).alias("__i"))
-        .withColumn("__word", F.get("__words", F.col("__i")))
+        .withColumn("__n", size)
+        .withColumn("__k", count)
+        .select(*key, "__words", F.explode(places).alias("__place"))
+        .select(*key, F.col("__place").cast("int").alias("__i"), F.get("__words", F.col("__place")).alias("__word"))
         .filter(F.char_length("__word") <= LONGEST_SWAPPED)
         .select(*key, "__i", F.lower("__word").alias("word"))
     )

@@ -18,6 +18,7 @@ URL_MARK, EMAIL_MARK, PHONE_MARK = "<URL>", "<EMAIL>", "<PHONE>"
 WASH_URL = r"(?:https?|ftp)://[^" + SPACE + r"""<>"']+|\bwww\.[A-Za-z0-9\-]+\.[^""" + SPACE + r"""<>"']+"""
 WASH_EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 WASH_PHONE = r"(?:\+?[0-9]{1,3}[ .\-])?\(?[0-9]{3}\)?[ .\-][0-9]{3}[ .\-][0-9]{4}\b"
+PHONE_HINT = r"[0-9]{3}[ .\-][0-9]{4}"
 WASH_EMOJI = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{FE0F}\x{200D}\x{20E3}]"
 
 
@@ -37,12 +38,21 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None, order_by: Sequence[str]) -
     return df.groupBy(*keys).agg(first).select(*[F.col(c) if c in keys else F.col(f"first.{c}").alias(c) for c in df.columns])
 
 
+def _replace_where(col: Column, hint: Column, pattern: str, mark: str) -> Column:
+    """Run the pattern only on texts that pass a cheap, necessary test."""
+    return F.when(hint, F.regexp_replace(col, pattern, mark)).otherwise(col)
+
+
 def wash_patterns(col: Column) -> Column:
-    """URLs, e-mail addresses and phone numbers become marks; emoji go."""
-    col = F.regexp_replace(col, WASH_URL, URL_MARK)
-    col = F.regexp_replace(col, WASH_EMAIL, EMAIL_MARK)
-    col = F.regexp_replace(col, WASH_PHONE, PHONE_MARK)
-    return F.regexp_replace(col, WASH_EMOJI, "")
+    """URLs, e-mail addresses and phone numbers become marks; emoji go.
+
+    The marks hold none of the characters that the later tests look for, so every
+    test may look at the original text.
+    """
+    washed = _replace_where(col, col.contains("://") | col.contains("www."), WASH_URL, URL_MARK)
+    washed = _replace_where(washed, col.contains("@"), WASH_EMAIL, EMAIL_MARK)
+    washed = _replace_where(washed, col.rlike(PHONE_HINT), WASH_PHONE, PHONE_MARK)
+    return _replace_where(washed, F.octet_length(col) > F.char_length(col), WASH_EMOJI, "")
 
 
 @F.pandas_udf(T.StringType())
@@ -67,10 +77,9 @@ def wash_text(
 ) -> DataFrame:
     """Wash every text column (or ``columns``), then deduplicate if keys are given."""
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    # The fold runs first, on the raw column: a Python step between two native
-    # projections would otherwise split the stage twice.
-    washed = {c: wash_patterns(fold_to_ascii(c) if to_ascii else F.col(c)) for c in names}
-    out = df.withColumns(washed)
+    # All folds run in one Python step, the patterns after it in one native projection.
+    folded = df.withColumns({c: fold_to_ascii(c) for c in names}) if to_ascii else df
+    out = folded.withColumns({c: wash_patterns(F.col(c)) for c in names})
     return dedupe(out, dedupe_on, order_by) if dedupe_on else out
 
 
