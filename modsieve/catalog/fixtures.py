@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modsieve.keys import number_rows, seeded
+from modsieve.sources.tables import spread
+
+
+TEXT_TABLES = ("documents", "pages")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in TEXT_TABLES else scan
 
 
 def _as_reviews(documents: DataFrame, label) -> DataFrame:

@@ -59,13 +59,8 @@ def folded_sql(source: str, key: str) -> str:
     ),
 )
 def _(spark, sf):
-    splits = prepare_splits(_tables(spark, sf), SplitConfig(seed=SEED))
-    keep = ["dataset", "row_id", "slot", "rule", "body", "rule_violation"]
-    out = None
-    for part in ("train", "valid", "test"):
-        rows = getattr(splits, part).select(F.lit(part).alias("part"), *keep)
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    rows = prepare_splits(_tables(spark, sf), SplitConfig(seed=SEED)).rows
+    return rows.select("part", "dataset", "row_id", "slot", "rule", "body", "rule_violation")
 
 
 QUICK = TrainParams(buckets=1 << 14, max_iter=10)

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from modsieve.spec import COLUMNS, TableSpec
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Even out a bare scan that has fewer splits than there are cores.
+
+    A file with one large row group cannot be split, and text work would run on one
+    core. Tables with enough splits, as large ones have, are left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def read_sources(
     spark: SparkSession, paths: Mapping[str, str], specs: Mapping[str, TableSpec] | None = None, with_file: bool = False
 ) -> dict[str, DataFrame]:
