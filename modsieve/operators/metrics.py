@@ -14,36 +14,46 @@ def _search_steps(spark: SparkSession) -> int:
     return min(max((ranges - 1).bit_length(), 5), 13)
 
 
-def running_before(histogram: DataFrame, value: str, amount: str, by: Sequence[str], out: str) -> DataFrame:
-    """Add the sum of ``amount`` over all smaller ``value`` within each group.
+def running_before(histogram: DataFrame, value: str, amounts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Add, for each of ``amounts``, ``<name>_before`` (its sum over all smaller values of
+    the group) and ``<name>_all`` (its sum over the group).
 
     Even with as many values as rows no task sees a whole group: approximate
     percentiles cut the values into ranges of similar size, the ranges are summed,
     and the exact running sum continues from range to range. Where the cuts fall
-    does not change the result.
+    does not change the result. All steps read the same columns of the histogram,
+    so its exchange is made once and reused.
     """
     steps = _search_steps(histogram.sparkSession)
     fractions = [i / 2**steps for i in range(1, 2**steps)]
-    cuts = histogram.agg(F.percentile_approx(value, fractions, 10 * 2**steps)).scalar()
-    histogram = histogram.withColumn("__cuts", cuts)
-    # Binary search: how many cuts are below the value.
+    counted = F.when(sum((F.col(a) for a in amounts), F.lit(0)) >= 0, F.col(value))  # always; reads the counts
+    cuts = histogram.agg(F.percentile_approx(counted, fractions, 10 * 2**steps)).scalar()
+    # Binary search: how many cuts are below the value. Never null, or Spark would
+    # test it on every input row.
     spot = F.aggregate(
         F.lit([2**i for i in reversed(range(steps))]),
         F.lit(0),
         lambda at, jump: F.when(F.get("__cuts", at + jump - 1) < F.col(value), at + jump).otherwise(at),
     )
     by = list(by)
-    placed = histogram.withColumn("__range", spot).drop("__cuts")
+    placed = histogram.withColumn("__cuts", cuts).withColumn("__range", F.coalesce(spot, F.lit(0))).drop("__cuts")
     group = []
     if by:
         placed, group = placed.withColumn("__g", F.struct(*by)), ["__g"]
-    sums = placed.groupBy(*group, "__range").agg(F.sum(amount).alias("__sum"))
+    sums = placed.groupBy(*group, "__range").agg(*[F.sum(a).alias(a) for a in amounts])
     earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*group, "__range", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__off"))
+    whole = Window.partitionBy(*group)
+    offsets = sums.select(
+        *group,
+        "__range",
+        *[F.coalesce(F.sum(a).over(earlier), F.lit(0)).alias(f"{a}_before") for a in amounts],
+        *[F.sum(a).over(whole).alias(f"{a}_all") for a in amounts],
+    )
     inside = Window.partitionBy(*group, "__range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.withColumn("__local", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-    joined = local.join(offsets, [*group, "__range"]).withColumn(out, F.col("__off") + F.col("__local"))
-    return joined.drop(*group, "__range", "__off", "__local")
+    local = placed.withColumns({f"__{a}": F.coalesce(F.sum(a).over(inside), F.lit(0)) for a in amounts})
+    joined = local.join(offsets, [*group, "__range"])
+    added = {f"{a}_before": F.col(f"{a}_before") + F.col(f"__{a}") for a in amounts}
+    return joined.withColumns(added).drop(*group, "__range", *[f"__{a}" for a in amounts])
 
 
 def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -51,16 +61,14 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Da
     by = list(by)
     known = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     histogram = known.groupBy(*by, score).agg(
-        F.count_if(F.col(label) == 1).alias("__p"), F.count_if(F.col(label) == 0).alias("__n")
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranked = running_before(histogram, score, "__n", by, "__before")
-    wins = F.sum(F.col("__p") * (F.col("__before") + F.col("__n") / 2))
-    positives, negatives = F.sum("__p"), F.sum("__n")
+    ranked = running_before(histogram, score, ["pos", "neg"], by)
+    wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
+    positives, negatives = F.coalesce(F.max("pos_all"), F.lit(0)), F.coalesce(F.max("neg_all"), F.lit(0))
     pairs = positives.cast("double") * negatives.cast("double")
     return ranked.groupBy(*by).agg(
-        F.when(pairs > 0, wins / pairs).alias("auc"),
-        F.coalesce(positives, F.lit(0)).alias("n_positive"),
-        F.coalesce(negatives, F.lit(0)).alias("n_negative"),
+        F.when(pairs > 0, wins / pairs).alias("auc"), positives.alias("n_positive"), negatives.alias("n_negative")
     )
 
 

@@ -25,6 +25,7 @@ class Validation:
     rejected: DataFrame
     report: DataFrame
     ok: bool
+    tagged: DataFrame | None = None  # valid and rejected rows with ``reject_reason``
 
 
 def absent_columns(df: DataFrame, spec: TableSpec, train: bool = True) -> list[str]:
@@ -105,8 +106,12 @@ def tag_first(df: DataFrame, features: Sequence[str], order_by: Sequence[str]) -
     key, so a group with a third of all rows never meets in one task.
     """
     order_by = list(order_by)
-    first = F.min(F.struct(*order_by))
-    firsts = df.groupBy(*features).agg(first.alias("first")).select("first.*", F.lit(True).alias("__first"))
+    groups = df.groupBy(*features)
+    if len(order_by) == 1:  # a plain minimum aggregates by hash, a struct by sorting
+        firsts = groups.agg(F.min(order_by[0]).alias(order_by[0])).select(*order_by)
+    else:
+        firsts = groups.agg(F.min(F.struct(*order_by)).alias("first")).select("first.*")
+    firsts = firsts.withColumn("__first", F.lit(True))
     return df.join(firsts, order_by, "left").withColumn("is_first", F.coalesce("__first", F.lit(False))).drop("__first")
 
 
@@ -131,30 +136,8 @@ def tag_rejects(df: DataFrame, spec: TableSpec, order_by: Sequence[str]) -> Data
     return tagged.withColumn("reject_reason", reason).drop("is_first")
 
 
-def validate(
-    df: DataFrame,
-    spec: TableSpec,
-    order_by: Sequence[str] | None = None,
-    *,
-    train: bool = True,
-    strict: bool = True,
-) -> Validation:
-    """All checks in order; rejected rows are kept together with the reason.
-
-    A missing column or a wrong type is fatal: ``strict`` raises, otherwise the
-    table is returned untouched with ``ok=False`` and the report names the columns.
-    """
-    absent = absent_columns(df, spec, train)
-    conflicts = type_conflicts(df, spec)
-    if absent or conflicts:
-        if strict:
-            raise LayoutError(f"missing columns {absent}, wrong types {conflicts}")
-        found = [("missing_columns", c, "absent", None, None) for c in absent]
-        found += [("dtype_mismatch", c, d, None, f) for c, d, f in conflicts]
-        report = df.sparkSession.createDataFrame(found, REPORT_SCHEMA)
-        return Validation(df, df.limit(0).withColumn("reject_reason", F.lit("")), report, False)
-
-    tagged = tag_rejects(df, spec, order_by or spec.key)
+def reject_report(tagged: DataFrame) -> DataFrame:
+    """Counts and purities of both row checks, the second on what the first left."""
     total, duplicates, missing = F.col("n"), F.col("d"), F.col("m")
     counts = tagged.agg(
         F.count(F.lit(1)).alias("n"),
@@ -171,7 +154,7 @@ def validate(
             F.lit(None).cast("string").alias("detail"),
         )
 
-    report = counts.select(
+    return counts.select(
         F.inline(
             F.array(
                 line("data_redundancy", "raw_count", total),
@@ -183,9 +166,39 @@ def validate(
             )
         )
     )
+
+
+def validate(
+    df: DataFrame,
+    spec: TableSpec,
+    order_by: Sequence[str] | None = None,
+    *,
+    train: bool = True,
+    strict: bool = True,
+) -> Validation:
+    """All checks in order; rejected rows are kept together with the reason.
+
+    A missing column or a wrong type is fatal: ``strict`` raises, otherwise the
+    table is returned untouched with ``ok=False`` and the report names the columns.
+    """
+    absent = absent_columns(df, spec, train)
+    conflicts = type_conflicts(df, spec)
+    if absent or conflicts:
+        if strict:
+            raise LayoutError(f"missing columns {absent}, wrong types {conflicts}")
+        found = [("missing_columns", c, "absent", None, None) for c in absent]
+        found += [("dtype_mismatch", c, d, None, f) for c, d, f in conflicts]
+        report = df.sparkSession.createDataFrame(found, REPORT_SCHEMA)
+        return Validation(df, df.limit(0).withColumn("reject_reason", F.lit("")), report, False)
+
+    return verdicts(tag_rejects(df, spec, order_by or spec.key))
+
+
+def verdicts(tagged: DataFrame) -> Validation:
+    """Split rows with a ``reject_reason``; they may come from a stored table."""
     valid = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     rejected = tagged.filter(F.col("reject_reason").isNotNull())
-    return Validation(valid, rejected, report, True)
+    return Validation(valid, rejected, reject_report(tagged), True, tagged)
 
 
 def submission_aligned(test: DataFrame, submission: DataFrame, key: str = "row_id") -> DataFrame:
