@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from modsieve.catalog.fixtures import reviews, table, with_tables
 from modsieve.catalog.registry import query
+from modsieve.catalog.validation import REVIEW_TABLE
 from modsieve.operators.profile import (
     class_distribution,
     length_density,
     length_stats,
     mode,
     quantiles,
+    statistics_report,
     target_distribution,
     top_terms,
     vocabulary_stats,
@@ -161,3 +163,32 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return top_terms(table(spark, sf, "documents"), "text", STOP_WORDS, 100)
+
+
+def _long(source: str, prefix: str) -> str:
+    return f"""SELECT 'body' AS "column", '{prefix}' || metric AS metric, CAST(NULL AS VARCHAR) AS "class", CAST(NULL AS VARCHAR) AS target,
+                      "value"::DOUBLE AS "value" FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM {source}) ON COLUMNS(*) INTO NAME metric VALUE "value")"""
+
+
+def _of_reviews(sql: str) -> str:
+    return sql.replace("FROM documents", "FROM (SELECT body AS text FROM reviews)")
+
+
+@query(
+    "statistics_report",
+    with_tables(
+        "reviews",
+        UNPIVOTED
+        + f""", by_word AS ({_of_reviews(length_stats_sql('word'))}), by_char AS ({_of_reviews(length_stats_sql('char'))}),
+        w AS (SELECT unnest(regexp_extract_all(body, '{WORDS_RE}')) AS word FROM reviews),
+        vocab AS (SELECT count(*) AS total_vocabs, count(DISTINCT word) AS total_unique_vocabs,
+                         round(100 * count(DISTINCT word)::DOUBLE / count(*)::DOUBLE, 4) AS uniqueness FROM w)""",
+        f"""SELECT "column", 'n_classes' AS metric, CAST(NULL AS VARCHAR) AS "class", CAST(NULL AS VARCHAR) AS target, n_classes::DOUBLE AS "value" FROM sizes
+            UNION ALL SELECT "column", 'class_rows', "class", NULL, count(*)::DOUBLE FROM u JOIN sizes USING ("column") WHERE n_classes <= 10 GROUP BY "column", "class"
+            UNION ALL SELECT "column", 'target_rows', "class", rule_violation::VARCHAR, count(*)::DOUBLE FROM u JOIN sizes USING ("column")
+                      WHERE n_classes <= 10 AND "column" <> 'rule_violation' GROUP BY "column", "class", rule_violation
+            UNION ALL {_long('by_word', 'word_length_')} UNION ALL {_long('by_char', 'char_length_')} UNION ALL {_long('vocab', '')}""",
+    ),
+)
+def _(spark, sf):
+    return statistics_report(reviews(spark, sf), REVIEW_TABLE)

@@ -90,6 +90,20 @@ ZERO_SHOT = (
 )
 
 
+@query(
+    "zero_shot_messages",
+    with_tables(
+        "reviews",
+        "",
+        f"""SELECT row_id, CAST(0 AS INTEGER) AS turn, 'system' AS role, '{prompts.TASK}Rule : ' || {strip_sql('rule')} AS content FROM reviews
+            UNION ALL SELECT row_id, 1, 'user', {strip_sql('body')} FROM reviews""",
+    ),
+)
+def _(spark, sf):
+    told = reviews(spark, sf).select("row_id", F.posexplode(prompts.zero_shot_messages()).alias("turn", "m"))
+    return told.select("row_id", "turn", "m.role", "m.content")
+
+
 @query("zero_shot_prompt", with_tables("reviews", "", f"SELECT row_id, {ZERO_SHOT} AS prompt FROM reviews"))
 def _(spark, sf):
     return with_prompt(reviews(spark, sf), prompts.zero_shot_prompt()).select("row_id", "prompt")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modsieve.functions.text import WORD, word_count, words
-from modsieve.spec import COLUMNS
+from modsieve.spec import COLUMNS, TableSpec
 
 MAX_CLASSES = 10
 GRID_POINTS = 200
@@ -175,3 +176,42 @@ def top_terms(df: DataFrame, column: str, stop_words: Sequence[str], k: int) ->
     # Stop words go after the counting, once per word instead of once per occurrence.
     kept = counted.filter(~F.col("word").isin(stop)) if stop else counted
     return kept.orderBy(F.desc("n"), "word").limit(k)
+
+
+def statistics_report(df: DataFrame, spec: TableSpec, max_classes: int = MAX_CLASSES) -> DataFrame:
+    """(column, metric, class, target, value) for every declared column the table has.
+
+    Categorical columns: number of classes, rows per class and per (class, target).
+    Other text columns: length statistics by word and by character, vocabulary.
+    """
+    categorical = [c for c in spec.categorical if c in df.columns]
+    texts = [
+        c for c, t in df.dtypes if t == "string" and c in spec.columns and c not in spec.categorical and c not in spec.filepath
+    ]
+    nothing = F.lit(None).cast("string")
+    layout = "column string, metric string, class string, target string, value double"
+    parts = []
+
+    def add(part: DataFrame, column: Column, metric: Column, value: Column, of: Column = nothing, target: Column = nothing):
+        parts.append(
+            part.select(
+                column.alias("column"), metric.alias("metric"), of.alias("class"), target.alias("target"), value.cast("double").alias("value")
+            )
+        )
+
+    if categorical:
+        counted = class_distribution(df, categorical, max_classes)
+        sizes = counted.groupBy("column").agg(F.max("n_classes").alias("n"))
+        add(sizes, F.col("column"), F.lit("n_classes"), F.col("n"))
+        classes = counted.filter(F.col("n_classes") <= max_classes)
+        add(classes, F.col("column"), F.lit("class_rows"), F.col("n_rows"), F.col("class"))
+        if spec.target in df.columns and spec.target in categorical:
+            by_target = target_distribution(df, categorical, spec.target, max_classes)
+            add(by_target, F.col("column"), F.lit("target_rows"), F.col("n_rows"), F.col("class"), F.col(spec.target).cast("string"))
+    for column in texts:
+        wide = [(length_stats(df, column, unit), f"{unit}_length_") for unit in ("word", "char")]
+        wide.append((vocabulary_stats(df, column), ""))
+        for stats, prefix in wide:
+            pairs = F.array(*[F.struct(F.lit(prefix + c).alias("m"), F.col(c).cast("double").alias("v")) for c in stats.columns])
+            add(stats.select(F.inline(pairs)), F.lit(column), F.col("m"), F.col("v"))
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], layout)

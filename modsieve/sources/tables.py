@@ -90,6 +90,14 @@ def track_predictions(df: DataFrame, path: str, ts: Column, score: str = COLUMNS
     return path
 
 
+def insert_predictions(
+    df: DataFrame, url: str, table: str, ts: Column, score: str = COLUMNS.label, properties: Mapping[str, str] | None = None, **names
+) -> None:
+    """The same rows into a database table, which numbers them itself."""
+    rows = tracking_rows(df, ts, score, **names).select("body", "violation", "timestamp")
+    rows.write.jdbc(url, table, mode="append", properties=dict(properties or {}))
+
+
 def conform_union(
     tables: Sequence[DataFrame], specs: Sequence[TableSpec], with_fold: bool = False
 ) -> DataFrame:
