@@ -59,7 +59,7 @@ def folded_sql(source: str, key: str) -> str:
     ),
 )
 def _(spark, sf):
-    rows = prepare_splits(_tables(spark, sf), SplitConfig(seed=SEED)).rows
+    rows = prepare_splits(_tables(spark, sf), SplitConfig(seed=SEED, materialise=True)).rows
     return rows.select("part", "dataset", "row_id", "slot", "rule", "body", "rule_violation")
 
 

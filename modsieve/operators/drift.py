@@ -39,29 +39,30 @@ def term_counts(df: DataFrame, column: str, key: Sequence[str], bigrams: bool =
     return terms(moved, column, key, bigrams).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(counts: DataFrame, dimension: int = DIMENSION) -> DataFrame:
-    """The ``dimension`` most frequent terms with the number of documents that hold them."""
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+def vocabulary(occurrences: DataFrame, dimension: int = DIMENSION) -> DataFrame:
+    """The ``dimension`` most frequent terms: one aggregation by term, combined before it moves."""
+    totals = occurrences.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
     return totals.orderBy(F.desc("total"), "term").limit(dimension)
 
 
 def tfidf(df: DataFrame, column: str, key: Sequence[str], dimension: int = DIMENSION, bigrams: bool = True) -> DataFrame:
-    """(key, term, weight), every document's weights of length one."""
+    """(key, term, weight), every document's weights of length one.
+
+    Only terms of the vocabulary are counted per document. The texts move by key
+    once, which serves the counting, the document frequencies and the norms.
+    """
     key = list(key)
-    # At most ``dimension`` rows, whatever the corpus: safe to broadcast.
-    vocab = F.broadcast(vocabulary(term_counts(df, column, key, bigrams), dimension).select("term", "df"))
+    # Both broadcasts hold at most ``dimension`` rows, whatever the corpus.
+    vocab = F.broadcast(vocabulary(terms(df, column, key, bigrams), dimension).select("term"))
     moved = df.select(*key, column).repartition(*key)
-    counts = (
-        terms(moved, column, key, bigrams)
-        .join(vocab, "term")
-        .groupBy(*key, "term", "df")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    counts = terms(moved, column, key, bigrams).join(vocab, "term").groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    spread = F.broadcast(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     n = df.agg(F.count(F.lit(1))).scalar()
     raw = F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)
+    weighted = counts.join(spread, "term").withColumn("raw", raw)
     # A document has at most ``dimension`` rows here.
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*key)))
-    return counts.withColumn("raw", raw).select(*key, "term", (F.col("raw") / norm).alias("weight"))
+    return weighted.select(*key, "term", (F.col("raw") / norm).alias("weight"))
 
 
 def mean_vector_drift(weights: DataFrame, side: Column) -> DataFrame:
