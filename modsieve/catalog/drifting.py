@@ -17,7 +17,6 @@ from modsieve.operators.drift import (
     term_counts,
     tfidf,
 )
-from modsieve.session import cut_lineage
 
 TERMS = r"""tok AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM docs),
 occ AS (SELECT doc_id, lang, unnest(t) AS term FROM tok
@@ -71,7 +70,7 @@ def _languages(spark, sf):
 def _features(spark, sf):
     ref, cur = _languages(spark, sf)
     rows, doc = drift_sides(ref, "text", ["doc_id"], cur, 2, 1234)
-    return feature_table(cut_lineage(rows), "text", [doc], ["fold", "side", "held_out"])
+    return feature_table(rows, "text", [doc], ["fold", "side", "held_out"])
 
 
 @query("project_2d")

@@ -72,10 +72,17 @@ def zero_shot_messages() -> Column:
 
 
 def render_messages(messages: Column, template: tuple[str, str, str] = MESSAGE_TEMPLATE, answer: str = ANSWER_TURN) -> Column:
-    """Messages as one text; ``template`` goes before the role, after it, and after the content."""
+    """Messages as one text; ``template`` goes before the role, after it, and after the content.
+
+    Null if any content is null: joining the turns as an array would drop them silently.
+    """
     before, between, after = (F.lit(t) for t in template)
-    turns = F.transform(messages, lambda m: F.concat(before, m["role"], between, m["content"], after))
-    return F.concat(F.array_join(turns, ""), F.lit(answer))
+    return F.aggregate(
+        messages,
+        F.lit(""),
+        lambda text, m: F.concat(text, before, m["role"], between, m["content"], after),
+        lambda text: F.concat(text, F.lit(answer)),
+    )
 
 
 def zero_shot_prompt(**template) -> Column:

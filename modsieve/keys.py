@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNIFORM_SCALE = 4294967296.0  # 16**8: eight hex digits of an md5
 
@@ -28,6 +29,19 @@ def uniform(hashed: Column, word: int = 0) -> Column:
     return F.conv(F.substring(hashed, 8 * word + 1, 8), 16, 10).cast("long") / F.lit(UNIFORM_SCALE)
 
 
+def digests(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Grouping keys for ``columns``: texts by their SHA-256, other types as they are.
+
+    32 bytes are moved, sorted and compared instead of whole texts. Equal digests
+    mean equal texts for every practical purpose; null stays null.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return [
+        (F.unhex(F.sha2(F.col(c), 256)) if isinstance(kinds[c], T.StringType) else F.col(c)).alias(f"__d{i}")
+        for i, c in enumerate(columns)
+    ]
+
+
 def bucket_digits(spark: SparkSession) -> int:
     """Hex digits that give at least four buckets per shuffle partition."""
     wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modsieve.functions.text import SPACE
+from modsieve.keys import digests
 
 # Replacement marks of the washing step.
 URL_MARK, EMAIL_MARK, PHONE_MARK = "<URL>", "<EMAIL>", "<PHONE>"
@@ -26,16 +27,14 @@ def dedupe(df: DataFrame, keys: Sequence[str] | None, order_by: Sequence[str]) -
     """First row per key tuple by ``order_by``; without usable keys, distinct whole rows.
 
     The whole row rides in a minimum, which is combined before the shuffle: copies
-    of one text collapse where they are read.
+    of one text collapse where they are read. Groups are told apart by digests, so
+    long texts are neither sorted nor compared.
     """
     if not keys or any(k not in df.columns for k in keys):
         return df.distinct()
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    order = [c for c in order_by if c not in keys]
-    if not order and not rest:
-        return df.select(*keys).distinct()
-    first = F.min(F.struct(*order, *rest)).alias("first")
-    return df.groupBy(*keys).agg(first).select(*[F.col(c) if c in keys else F.col(f"first.{c}").alias(c) for c in df.columns])
+    order = list(order_by)
+    first = F.min(F.struct(*order, *[c for c in df.columns if c not in order])).alias("first")
+    return df.groupBy(*digests(df, keys)).agg(first).select(*[F.col("first")[c].alias(c) for c in df.columns])
 
 
 def _replace_where(col: Column, hint: Column, pattern: str, mark: str) -> Column:

@@ -78,10 +78,17 @@ def mean_vector_drift(weights: DataFrame, side: Column) -> DataFrame:
     )
 
 
-def feature_table(df: DataFrame, column: str, key: Sequence[str], carry: Sequence[str], dimension: int = DIMENSION) -> DataFrame:
+def feature_table(
+    df: DataFrame,
+    column: str,
+    key: Sequence[str],
+    carry: Sequence[str],
+    dimension: int = DIMENSION,
+    weights: DataFrame | None = None,
+) -> DataFrame:
     """(key, carry, features): one dense vector per document, zero where it has no term."""
     key = list(key)
-    weights = tfidf(df, column, key, dimension)
+    weights = tfidf(df, column, key, dimension) if weights is None else weights
     places = weights.select("term").distinct().select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("__i"))
     entries = F.map_from_entries(F.collect_list(F.struct("__i", "weight")))  # at most ``dimension``
     sparse = weights.join(F.broadcast(places), "term").groupBy(*key).agg(entries.alias("__w"))
@@ -184,9 +191,10 @@ def detect_drift(
 ) -> DataFrame:
     """One row: mean-vector distance and cosine, and how well a forest tells the folds apart."""
     rows, doc = drift_sides(ref, column, key, cur, n_splits, seed)
-    rows = cut_lineage(rows)
-    features = feature_table(rows, "text", [doc], ["fold", "side", "held_out"], dimension)
-    weights = tfidf(rows, "text", [doc, "side"], dimension)
+    kept = ["fold", "side", "held_out"]
+    # Read by the means, the vocabulary's places and the features: stored once, without the texts.
+    weights = cut_lineage(tfidf(rows, "text", [doc, *kept], dimension))
+    features = feature_table(rows, "text", [doc], kept, dimension, weights)
     means = mean_vector_drift(weights, F.col("side"))
     forest = domain_classifier(features, "fold", "held_out", trees, seed, binary=cur is not None)
     return means.withColumn("accuracy", forest.select("accuracy").scalar()).withColumn(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modsieve.keys import digests
 from modsieve.spec import INTEGER_NAMES, TEXT_NAMES, TableSpec
 
 REPORT_SCHEMA = "check string, column string, metric string, value double, detail string"
@@ -91,7 +92,7 @@ def missing_purity(total: Column, missing: Column) -> Column:
 
 
 def duplicate_report(df: DataFrame, spec: TableSpec) -> DataFrame:
-    groups = df.groupBy(*spec.features).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*digests(df, spec.features)).agg(F.count(F.lit(1)).alias("n"))
     counts = groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw_count"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicates"),
@@ -106,7 +107,7 @@ def tag_first(df: DataFrame, features: Sequence[str], order_by: Sequence[str]) -
     key, so a group with a third of all rows never meets in one task.
     """
     order_by = list(order_by)
-    groups = df.groupBy(*features)
+    groups = df.groupBy(*digests(df, features))
     if len(order_by) == 1:  # a plain minimum aggregates by hash, a struct by sorting
         firsts = groups.agg(F.min(order_by[0]).alias(order_by[0])).select(*order_by)
     else:

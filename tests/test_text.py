@@ -145,6 +145,15 @@ def test_prompts(spark):
     assert "Only respond YES or NO.Rule : R" in row.zero and row.zero.endswith("Violation:")
 
 
+def test_a_missing_example_makes_no_prompt(spark):
+    df = spark.createDataFrame(
+        [("r", "s", "b", "p1", "n1", None, "n2")],
+        "rule string, subreddit string, body string, positive_example_1 string, negative_example_1 string, positive_example_2 string, negative_example_2 string",
+    )
+    row = df.select(prompts.few_shot_prompt().alias("few"), prompts.render_messages(prompts.few_shot_messages()).alias("chat")).first()
+    assert row.few is None and row.chat is None
+
+
 def test_truncation(spark):
     df = spark.createDataFrame([("a  b\tc",), ("a",), (None,)], "body string")
     assert [tuple(r) for r in truncate_prompt(df, "body", 2).collect()] == [("a b", True), ("a", False), (None, None)]
