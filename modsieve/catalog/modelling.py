@@ -50,17 +50,21 @@ def folded_sql(source: str, key: str) -> str:
         p1 AS (SELECT DISTINCT rule, body, subreddit, rule_violation FROM reviews),
         p2 AS (SELECT * FROM p1 QUALIFY row_number() OVER (PARTITION BY rule, body ORDER BY subreddit, rule_violation) = 1),
         p3 AS ({folded_sql('p2', 'rule, body, subreddit')}),
-        a1 AS (SELECT * FROM both_sides QUALIFY row_number() OVER (PARTITION BY rule, body ORDER BY row_id) = 1)""",
-        """SELECT 'train' AS part, 'examples' AS dataset, row_id, slot, rule, body, rule_violation FROM e4
-           UNION ALL SELECT 'valid', 'examples', row_id, slot, rule, body, rule_violation FROM e4 WHERE fold < 3
-           UNION ALL SELECT 'train', 'plain', NULL, NULL, rule, body, rule_violation FROM p3
-           UNION ALL SELECT 'valid', 'plain', NULL, NULL, rule, body, rule_violation FROM p3 WHERE fold < 3
-           UNION ALL SELECT CASE WHEN rule_violation IN (0, 1) THEN 'train' ELSE 'test' END, 'arriving', row_id, NULL, rule, body, rule_violation FROM a1""",
+        a1 AS (SELECT * FROM both_sides QUALIFY row_number() OVER (PARTITION BY rule, body ORDER BY row_id) = 1),
+        parts AS (
+               SELECT 'train' AS part, 'examples' AS dataset, row_id, slot, rule, body, rule_violation FROM e4
+               UNION ALL SELECT 'valid', 'examples', row_id, slot, rule, body, rule_violation FROM e4 WHERE fold < 3
+               UNION ALL SELECT 'train', 'plain', NULL, NULL, rule, body, rule_violation FROM p3
+               UNION ALL SELECT 'valid', 'plain', NULL, NULL, rule, body, rule_violation FROM p3 WHERE fold < 3
+               UNION ALL SELECT CASE WHEN rule_violation IN (0, 1) THEN 'train' ELSE 'test' END, 'arriving', row_id, NULL, rule, body, rule_violation FROM a1)""",
+        """SELECT part, dataset, coalesce(row_id, -1) AS row_id, coalesce(slot, -1) AS slot, rule, body,
+                  coalesce(rule_violation, -1) AS rule_violation FROM parts""",
     ),
 )
 def _(spark, sf):
     rows = prepare_splits(_tables(spark, sf), SplitConfig(seed=SEED, materialise=True)).rows
-    return rows.select("part", "dataset", "row_id", "slot", "rule", "body", "rule_violation")
+    known = [F.coalesce(c, F.lit(-1)).alias(c) for c in ("row_id", "slot", "rule_violation")]
+    return rows.select("part", "dataset", "rule", "body", *known)
 
 
 QUICK = TrainParams(buckets=1 << 14, max_iter=10)
@@ -112,15 +116,16 @@ def _(spark, sf):
 
 
 RATES = """w AS (SELECT *, time_bucket(INTERVAL '1 hour', "timestamp") AS window_start FROM track_stream)
-    SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, count(*) AS n_rows, round(avg(violation), 6) AS mean_violation,
+    SELECT strftime(w.window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+           strftime(w.window_start + INTERVAL '1 hour', '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS n_rows, round(avg(violation), 6) AS mean_violation,
            round(avg(CASE WHEN violation > 0.5::DOUBLE THEN 1 ELSE 0 END), 6) AS violation_rate FROM w"""
 
 
 def _plain_times(df):
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")})
 
 
-@query("violation_rate", with_tables("track_stream", "", "").rstrip() + ", " + RATES + " GROUP BY window_start")
+@query("violation_rate", with_tables("track_stream", "", "").rstrip() + ", " + RATES + " GROUP BY w.window_start")
 def _(spark, sf):
     return _plain_times(violation_rate(track_stream(table(spark, sf, "events"))))
 
@@ -130,7 +135,7 @@ def _(spark, sf):
     with_tables("track_stream", "", "").rstrip()
     + ", "
     + RATES
-    + """ WHERE window_start + INTERVAL '1 hour' <= (SELECT max("timestamp") FROM track_stream) - INTERVAL '10 minutes' GROUP BY window_start""",
+    + """ WHERE w.window_start + INTERVAL '1 hour' <= (SELECT max("timestamp") FROM track_stream) - INTERVAL '10 minutes' GROUP BY w.window_start""",
 )
 def _(spark, sf):
     """The windows that the watermark has closed when the stream has read everything."""

@@ -83,7 +83,7 @@ def _(spark, sf):
 
 @query(
     "track_predictions",
-    with_tables("scores", "", """SELECT row_id AS id, body, score AS violation, DATE '2024-01-01' + CAST(row_id % 3 AS INTEGER) AS day FROM scores"""),
+    with_tables("scores", "", """SELECT row_id AS id, body, score AS violation, strftime(DATE '2024-01-01' + CAST(row_id % 3 AS INTEGER), '%Y-%m-%d') AS day FROM scores"""),
 )
 def _(spark, sf):
     path = fresh(spark, "track")
@@ -92,7 +92,7 @@ def _(spark, sf):
     ts = (F.lit("2024-01-01 12:00:00").cast("timestamp") + F.make_dt_interval((F.col("row_id") % 3).cast("int"))).alias("ts")
     for part in (0, 1):
         track_predictions(base.filter(F.col("row_id") % 2 == part), path, ts, "score")
-    return spark.read.parquet(path).select("id", "body", "violation", "day")
+    return spark.read.parquet(path).select("id", "body", "violation", F.col("day").cast("string").alias("day"))
 
 
 @query(

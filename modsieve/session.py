@@ -51,5 +51,7 @@ def work_path(spark: SparkSession, *parts: str) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later readers do not recompute, lost executors do not matter."""
-    shared_dir(df.sparkSession)
+    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

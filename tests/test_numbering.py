@@ -117,3 +117,30 @@ def test_uniform_is_in_the_unit_interval(rows):
     u = uniform(seeded(1, "u", "row_id"))
     r = rows.agg(F.min(u), F.max(u), F.avg(u)).first()
     assert 0 <= r[0] and r[1] < 1 and abs(r[2] - 0.5) < 0.05
+
+
+def test_the_shared_folder_comes_from_the_session():
+    from types import SimpleNamespace
+
+    from modsieve.session import shared_dir
+
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: "/shared/work"))
+    assert shared_dir(named) == "/shared/work"
+    context = SimpleNamespace(master="yarn", applicationId="a")
+    unnamed = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
+    with pytest.raises(RuntimeError):
+        shared_dir(unnamed)
+
+
+@pytest.mark.parametrize("threshold", ["-1"])
+def test_numbering_without_broadcasts(spark, rows, threshold):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = sorted(map(tuple, folds.multilabel_stratified_kfold(rows, ["rule"], 4, 1).select("row_id", "fold").collect()))
+    for n in names:
+        spark.conf.set(n, threshold)
+    try:
+        after = sorted(map(tuple, folds.multilabel_stratified_kfold(rows, ["rule"], 4, 1).select("row_id", "fold").collect()))
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+    assert before == after
