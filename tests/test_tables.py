@@ -165,3 +165,47 @@ def test_density_sums_to_one(spark):
     points = sorted((r.x, r.density) for r in profile.length_density(df, "body").collect())
     step = points[1][0] - points[0][0]
     assert len(points) == 200 and sum(d for _, d in points) * step == pytest.approx(1, abs=0.01)
+
+
+def test_a_clean_table_has_an_empty_report(dirty):
+    assert V.missing_columns(dirty, SPEC).collect() == []
+    assert V.dtype_mismatch(dirty, SPEC).collect() == []
+    assert V.dtype_mismatch(dirty, SPEC).columns == ["column", "dtype", "found", "n_uncastable"]
+
+
+def test_text_that_should_be_whole_numbers(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,), ("2.5",)], "row_id string")
+    spec = TableSpec(columns={"row_id": "int64"}, features=("row_id",))
+    assert tuple(V.dtype_mismatch(df, spec).first()) == ("row_id", "int64", "string", 2)
+
+
+def test_label_codes_keep_nulls_and_rows(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "b")], "row_id long, rule string")
+    got = {r.row_id: r.rule_le for r in reshape.encode_labels(df, ["rule"]).collect()}
+    assert got == {1: 1, 2: 0, 3: None, 4: 1}
+
+
+def test_redundancy_gate(spark):
+    data = spark.createDataFrame([("d1", 1), ("d2", 2)], "dataset string, row_id long")
+    report = spark.createDataFrame([("d1", 0), ("d2", 3)], "dataset string, n_duplicates long")
+    assert [r.dataset for r in clean.redundancy_gate(data, report).collect()] == ["d2"]
+
+
+def test_statistics_report(dirty, spark):
+    spec = TableSpec(columns=SPEC.columns, features=SPEC.features, target=SPEC.target, categorical=("rule", "rule_violation"))
+    report = {(r.column, r.metric, r["class"], r.target): r.value for r in profile.statistics_report(dirty, spec).collect()}
+    assert report["rule", "n_classes", None, None] == 2 and report["rule", "class_rows", "a", None] == 4
+    assert report["rule", "target_rows", "a", "1"] == 1 and report["body", "total_vocabs", None, None] == 4
+    nothing = TableSpec(columns={}, features=())
+    assert profile.statistics_report(dirty, nothing).count() == 0
+
+
+def test_report_is_written_as_json(dirty, spark, tmp_path):
+    path = tables.write_report(V.validate(dirty, SPEC).report, str(tmp_path / "report"))
+    assert spark.read.json(path).filter("metric = 'n_duplicates'").first().value == 2
+
+
+def test_whole_rows_are_the_fallback_key(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a")], "n long, t string")
+    assert clean.dedupe(df, ["absent"], ["n"]).count() == 2 and clean.dedupe(df, None, []).count() == 2
+    assert clean.dedupe(df, ["t"], ["n"]).collect() == [(1, "a")]
