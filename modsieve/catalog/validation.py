@@ -229,7 +229,19 @@ def _(spark, sf):
     return wash_text(linked(spark, sf).select("row_id", "body"), ["body"], to_ascii=False)
 
 
-@query("wash_text_ascii")
+def _ascii_sql(col: str) -> str:
+    return f"regexp_replace(strip_accents({col}), '[^\\x{{00}}-\\x{{7F}}]', '', 'g')"
+
+
+@query(
+    "wash_text_ascii",
+    with_tables(
+        "reviews",
+        f"""washed AS (SELECT row_id, {_washed_sql(_ascii_sql('body'))} AS body, {_washed_sql(_ascii_sql('rule'))} AS rule,
+                           {_washed_sql(_ascii_sql('subreddit'))} AS subreddit, rule_violation, n_chars FROM reviews)""",
+        "SELECT * FROM washed QUALIFY row_number() OVER (PARTITION BY rule, body ORDER BY row_id) = 1",
+    ),
+)
 def _(spark, sf):
     return wash_text(reviews(spark, sf), dedupe_on=["rule", "body"], order_by=["row_id"])
 

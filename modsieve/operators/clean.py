@@ -54,16 +54,19 @@ def wash_patterns(col: Column) -> Column:
     return _replace_where(washed, F.octet_length(col) > F.char_length(col), WASH_EMOJI, "")
 
 
-@F.pandas_udf(T.StringType())
-def fold_to_ascii(texts: pd.Series) -> pd.Series:
-    """Compatibility form without the marks, then ASCII: no built-in function normalises text."""
+def fold_to_ascii(col: Column) -> Column:
+    """Compatibility form without the marks, then ASCII: no built-in function normalises text.
 
-    def fold(text):
-        if text is None or text.isascii():
-            return text
-        return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
+    The function is local so that it travels to the workers by value.
+    """
+
+    def fold(texts: pd.Series) -> pd.Series:
+        def one(text):
+            return text if text.isascii() else unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
+
+        return texts.map(one, na_action="ignore")
 
-    return texts.map(fold, na_action="ignore")
+    return F.pandas_udf(fold, T.StringType())(col)
 
 
 def wash_text(
@@ -77,7 +80,7 @@ def wash_text(
     """Wash every text column (or ``columns``), then deduplicate if keys are given."""
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     # All folds run in one Python step, the patterns after it in one native projection.
-    folded = df.withColumns({c: fold_to_ascii(c) for c in names}) if to_ascii else df
+    folded = df.withColumns({c: fold_to_ascii(F.col(c)) for c in names}) if to_ascii else df
     out = folded.withColumns({c: wash_patterns(F.col(c)) for c in names})
     return dedupe(out, dedupe_on, order_by) if dedupe_on else out
 
