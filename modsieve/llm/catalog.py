@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modsieve.llm.decontaminate import contamination
+from modsieve.llm.mixing import mix
+from modsieve.llm.quality import judge
 from modsieve.llm.secrets import BASE_KINDS, find_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +64,17 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.array_join("items", ",")).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+@register
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior of every document, with its site's and path's rates of poor documents."""
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "source", "lang", "__v.*")
+
+
+@register
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of every document in a mix of one corpus length."""
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "__m.*")
