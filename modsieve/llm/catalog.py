@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modsieve.llm.decontaminate import contamination
+from modsieve.llm.jaccard import jaccard_classes
 from modsieve.llm.mixing import mix
 from modsieve.llm.quality import judge
 from modsieve.llm.secrets import BASE_KINDS, find_secrets
@@ -78,3 +79,9 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every occurrence of every document in a mix of one corpus length."""
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "__m.*")
+
+
+@register
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose 4-word shingles agree to 85 percent."""
+    return jaccard_classes(table(spark, sf_dir, "documents"))

@@ -56,3 +56,41 @@ def contaminated(docs, items):
             (doc, len(w), len(hit), len(names), sha(",".join(sorted(names))), bool(hit) and 20 * len(hit) >= len(w))
         )
     return out
+
+
+def smallest_reachable(nodes, links):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def jaccard(docs, size=4, percent=85):
+    """Doc id to (set size, component), by comparing all pairs."""
+    sets = {}
+    for doc, text in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
+        if len(w) < size:
+            sets[doc] = {tuple(w)} if w else set()
+        else:
+            sets[doc] = {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+    inverse = defaultdict(list)
+    for doc, s in sets.items():
+        for x in s:
+            inverse[x].append(doc)
+    links = []
+    for doc, s in sets.items():
+        both = Counter(o for x in s for o in inverse[x] if o < doc)
+        for other, n in both.items():
+            if 100 * n >= percent * (len(s) + len(sets[other]) - n):
+                links.append((doc, other))
+    parts = smallest_reachable(sets, links)
+    return {doc: (len(s), parts[doc]) for doc, s in sets.items()}
