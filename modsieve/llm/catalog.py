@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modsieve.llm.decontaminate import contamination
+from modsieve.llm.embedding import embedding_links
 from modsieve.llm.jaccard import jaccard_classes
 from modsieve.llm.mixing import mix
 from modsieve.llm.quality import judge
@@ -85,3 +86,9 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose 4-word shingles agree to 85 percent."""
     return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all embeddings."""
+    return embedding_links(table(spark, sf_dir, "embeddings"))

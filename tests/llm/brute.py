@@ -94,3 +94,22 @@ def jaccard(docs, size=4, percent=85):
                 links.append((doc, other))
     parts = smallest_reachable(sets, links)
     return {doc: (len(s), parts[doc]) for doc, s in sets.items()}
+
+
+def embeddings(rows, threshold=0.95):
+    import math
+
+    def sound(v):
+        return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    good = [(i, v) for i, v in rows if sound(v)]
+    links = []
+    for k, (i, v) in enumerate(good):
+        for j, w in good[:k]:
+            if len(v) == len(w):
+                cos = sum(a * b for a, b in zip(v, w)) / math.sqrt(sum(a * a for a in v)) / math.sqrt(sum(b * b for b in w))
+                if cos >= threshold:
+                    links.append((i, j))
+    n = Counter(x for pair in links for x in pair)
+    parts = smallest_reachable([i for i, _ in rows], links)
+    return {i: (n[i], parts[i], parts[i] == i) for i, _ in rows}
