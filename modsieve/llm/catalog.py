@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from modsieve.llm.decontaminate import contamination
 from modsieve.llm.embedding import embedding_links
 from modsieve.llm.jaccard import jaccard_classes
+from modsieve.llm.licences import scan_licences
 from modsieve.llm.mixing import mix
 from modsieve.llm.quality import judge
 from modsieve.llm.secrets import BASE_KINDS, find_secrets
@@ -92,3 +93,16 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all embeddings."""
     return embedding_links(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of every document, laid out as files ``source/lang/shelf/doc_id``."""
+    documents = table(spark, sf_dir, "documents")
+    shelf = F.floor(F.col("doc_id") / 100).cast("string")
+    path = F.concat_ws("/", "source", "lang", shelf, F.col("doc_id").cast("string"))
+    found = scan_licences(documents.select(path.alias("path"), "text"))
+    return found.select(
+        F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"),
+        "path", F.array_join("licences", ",").alias("licences"), "score", "origin", "licence_dir",
+    )
