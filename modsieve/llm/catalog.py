@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from modsieve.llm.decontaminate import contamination
 from modsieve.llm.embedding import embedding_links
+from modsieve.llm.html_text import extract_text
 from modsieve.llm.jaccard import jaccard_classes
 from modsieve.llm.licences import scan_licences
 from modsieve.llm.mixing import mix
@@ -106,3 +107,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"),
         "path", F.array_join("licences", ",").alias("licences"), "score", "origin", "licence_dir",
     )
+
+
+@register
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = extract_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
