@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modsieve.llm import fm_index, suffix_array
 from modsieve.llm.decontaminate import contamination
 from modsieve.llm.embedding import embedding_links
 from modsieve.llm.html_text import extract_text
@@ -114,3 +115,24 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     found = extract_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def covered() -> F.Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
+
+
+@register
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the byte strings of 400 that occur more than once."""
+    found = suffix_array.drop_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", covered().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@register
+def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the windows of 20 words that occur earlier."""
+    found = fm_index.drop_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", covered().alias("n_removed"), digest(F.col("kept")).alias("kept_sha256"))

@@ -113,3 +113,40 @@ def embeddings(rows, threshold=0.95):
     n = Counter(x for pair in links for x in pair)
     parts = smallest_reachable([i for i, _ in rows], links)
     return {i: (n[i], parts[i], parts[i] == i) for i, _ in rows}
+
+
+def drop_bytes(docs, length=400):
+    """Doc id to (bytes, removed, spans, digest of the rest)."""
+    seen = Counter()
+    raw = [(doc, (text or "").encode()) for doc, text in docs]
+    for _, b in raw:
+        seen.update(hash(b[i : i + length]) for i in range(len(b) - length + 1))
+    out = []
+    for doc, b in raw:
+        gone, until, spans = bytearray(len(b)), 0, 0
+        for i in range(len(b) - length + 1):
+            if seen[hash(b[i : i + length])] > 1:
+                spans += i > until or not gone[i - 1 : i] == b"\x01"
+                for j in range(max(i, until), i + length):
+                    gone[j] = 1
+                until = i + length
+        flags = bytes(gone)
+        spans = len(re.findall(b"\x01+", flags))
+        out.append((doc, len(b), sum(flags), spans, sha(bytes(x for x, g in zip(b, flags) if not g))))
+    return out
+
+
+def drop_words(docs, length=20):
+    """Doc id to (words, removed, digest of the rest); ids in ascending order count as earlier."""
+    seen, out = set(), []
+    for doc, text in sorted(docs):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        gone = [False] * len(w)
+        for i in range(len(w) - length + 1):
+            key = tuple(w[i : i + length])
+            if key in seen:
+                gone[i : i + length] = [True] * length
+            else:
+                seen.add(key)
+        out.append((doc, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g))))
+    return out
