@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modsieve.llm import fm_index, suffix_array
+from modsieve.llm import fm_index, oracles, suffix_array
 from modsieve.llm.decontaminate import contamination
 from modsieve.llm.embedding import embedding_links
 from modsieve.llm.html_text import extract_text
@@ -18,7 +18,7 @@ from modsieve.llm.quality import judge
 from modsieve.llm.secrets import BASE_KINDS, find_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.SQL)
 
 
 def register(build):
