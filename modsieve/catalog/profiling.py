@@ -40,9 +40,7 @@ sizes AS (SELECT "column", count(DISTINCT "class") AS n_classes FROM u GROUP BY
     with_tables(
         "reviews",
         UNPIVOTED,
-        """SELECT "column", "class", count("class") AS n_rows, n_classes FROM u JOIN sizes USING ("column")
-           WHERE n_classes <= 10 GROUP BY ALL
-           UNION ALL SELECT "column", NULL, NULL, n_classes FROM sizes WHERE n_classes > 10""",
+        """SELECT "column", "class", nullif(count("class"), 0) AS n_rows, n_classes FROM u JOIN sizes USING ("column") GROUP BY ALL""",
     ),
 )
 def _(spark, sf):
@@ -55,7 +53,7 @@ def _(spark, sf):
         "reviews",
         UNPIVOTED,
         """SELECT "column", "class", rule_violation, count(*) AS n_rows FROM u JOIN sizes USING ("column")
-           WHERE n_classes <= 10 AND "column" <> 'rule_violation' GROUP BY ALL""",
+           WHERE "column" <> 'rule_violation' GROUP BY ALL""",
     ),
 )
 def _(spark, sf):
@@ -184,9 +182,9 @@ def _of_reviews(sql: str) -> str:
         vocab AS (SELECT count(*) AS total_vocabs, count(DISTINCT word) AS total_unique_vocabs,
                          round(100 * count(DISTINCT word)::DOUBLE / count(*)::DOUBLE, 4) AS uniqueness FROM w)""",
         f"""SELECT "column", 'n_classes' AS metric, CAST(NULL AS VARCHAR) AS "class", CAST(NULL AS VARCHAR) AS target, n_classes::DOUBLE AS "value" FROM sizes
-            UNION ALL SELECT "column", 'class_rows', "class", NULL, count(*)::DOUBLE FROM u JOIN sizes USING ("column") WHERE n_classes <= 10 GROUP BY "column", "class"
+            UNION ALL SELECT "column", 'class_rows', "class", NULL, count(*)::DOUBLE FROM u JOIN sizes USING ("column") GROUP BY "column", "class"
             UNION ALL SELECT "column", 'target_rows', "class", rule_violation::VARCHAR, count(*)::DOUBLE FROM u JOIN sizes USING ("column")
-                      WHERE n_classes <= 10 AND "column" <> 'rule_violation' GROUP BY "column", "class", rule_violation
+                      WHERE "column" <> 'rule_violation' GROUP BY "column", "class", rule_violation
             UNION ALL {_long('by_word', 'word_length_')} UNION ALL {_long('by_char', 'char_length_')} UNION ALL {_long('vocab', '')}""",
     ),
 )

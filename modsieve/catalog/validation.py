@@ -230,29 +230,33 @@ def _(spark, sf):
 
 
 def _ascii_sql(col: str) -> str:
-    return f"regexp_replace(strip_accents({col}), '[^\\x{{00}}-\\x{{7F}}]', '', 'g')"
+    for letter, plain in (("‘", "'"), ("’", "'"), ("“", '"'), ("”", '"'), ("–", "-"), ("—", "-"), ("ß", "ss"), ("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("ø", "o")):
+        quoted = plain.replace("'", "''")
+        col = f"replace({col}, '{letter}', '{quoted}')"
+    return f"strip_accents({col})"
 
 
 @query(
     "wash_text_ascii",
     with_tables(
-        "reviews",
-        f"""washed AS (SELECT row_id, {_washed_sql(_ascii_sql('body'))} AS body, {_washed_sql(_ascii_sql('rule'))} AS rule,
-                           {_washed_sql(_ascii_sql('subreddit'))} AS subreddit, rule_violation, n_chars FROM reviews)""",
-        "SELECT * FROM washed QUALIFY row_number() OVER (PARTITION BY rule, body ORDER BY row_id) = 1",
+        "",
+        f"""washed AS (SELECT doc_id, {_washed_sql(_ascii_sql('text'))} AS text, {_washed_sql(_ascii_sql('lang'))} AS lang,
+                           {_washed_sql(_ascii_sql('source'))} AS source, n_chars FROM documents)""",
+        "SELECT * FROM washed QUALIFY row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) = 1",
     ),
 )
 def _(spark, sf):
-    return wash_text(reviews(spark, sf), dedupe_on=["rule", "body"], order_by=["row_id"])
+    return wash_text(table(spark, sf, "documents"), dedupe_on=["lang", "text"], order_by=["doc_id"])
 
 
 @query(
     "redundancy_gate",
     """WITH r AS (SELECT source AS dataset, count(*) - count(DISTINCT text) AS n_duplicates FROM documents GROUP BY source)
-       SELECT doc_id, source AS dataset, text FROM documents WHERE source IN (SELECT dataset FROM r WHERE n_duplicates > 0)""",
+       SELECT doc_id, source AS dataset, text FROM documents JOIN r ON source = dataset
+       QUALIFY n_duplicates = 0 OR row_number() OVER (PARTITION BY source, text ORDER BY doc_id) = 1""",
 )
 def _(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", F.col("source").alias("dataset"), "text")
     copies = documents.groupBy("dataset", "text").agg(F.count(F.lit(1)).alias("n"))
     report = copies.groupBy("dataset").agg(F.sum(F.col("n") - 1).alias("n_duplicates"))
-    return redundancy_gate(documents, report)
+    return redundancy_gate(documents, report, ["text"], ["doc_id"])

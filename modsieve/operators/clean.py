@@ -54,15 +54,36 @@ def wash_patterns(col: Column) -> Column:
     return _replace_where(washed, F.octet_length(col) > F.char_length(col), WASH_EMOJI, "")
 
 
+# Typographic marks and Latin letters that have no decomposition.
+ASCII_FORMS = {
+    "\u2018": "'", "\u2019": "'", "\u201a": "'", "\u201b": "'", "\u201c": '"', "\u201d": '"', "\u201e": '"', "\u201f": '"',
+    "\u00ab": '"', "\u00bb": '"', "\u2039": "'", "\u203a": "'", "\u2010": "-", "\u2011": "-", "\u2012": "-", "\u2013": "-",
+    "\u2014": "-", "\u2015": "-", "\u2212": "-", "\u00df": "ss", "\u1e9e": "SS", "\u00e6": "ae", "\u00c6": "AE", "\u0153": "oe",
+    "\u0152": "OE", "\u00f8": "o", "\u00d8": "O", "\u0142": "l", "\u0141": "L", "\u0111": "d", "\u0110": "D", "\u00f0": "d",
+    "\u00d0": "D", "\u00fe": "th", "\u00de": "Th", "\u0131": "i", "\u0127": "h", "\u0126": "H",
+}
+
+
 def fold_to_ascii(col: Column) -> Column:
-    """Compatibility form without the marks, then ASCII: no built-in function normalises text.
+    """ASCII form of every letter that has one; all others stay as they are.
 
-    The function is local so that it travels to the workers by value.
+    Quotes and dashes are straightened, letters lose their marks, compatibility forms are
+    spelled out. Nothing is deleted. No built-in function normalises text, hence one Arrow
+    step; the function is local so that it travels to the workers by value.
     """
+    forms = dict(ASCII_FORMS)
 
     def fold(texts: pd.Series) -> pd.Series:
+        def letter(c):
+            if c not in forms:
+                plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+                forms[c] = plain if plain and plain.isascii() else c
+            return forms[c]
+
         def one(text):
-            return text if text.isascii() else unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
+            if text.isascii():
+                return text
+            return "".join(c if c.isascii() else letter(c) for c in unicodedata.normalize("NFC", text))
 
         return texts.map(one, na_action="ignore")
 
@@ -85,7 +106,19 @@ def wash_text(
     return dedupe(out, dedupe_on, order_by) if dedupe_on else out
 
 
-def redundancy_gate(tables: DataFrame, report: DataFrame) -> DataFrame:
-    """Rows of those datasets whose report counts duplicates (both carry ``dataset``)."""
-    flagged = report.filter("n_duplicates > 0").select("dataset").distinct()
-    return tables.join(flagged, "dataset", "left_semi")
+def not_ascii(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per text column, the rows that hold letters without an ASCII form (after folding)."""
+    counts = [F.struct(F.lit(c).alias("column"), F.count_if(F.octet_length(c) > F.char_length(c)).alias("n_rows")) for c in columns]
+    return df.agg(F.array(*counts).alias("r")).select(F.inline("r"))
+
+
+def redundancy_gate(tables: DataFrame, report: DataFrame, features: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """All datasets, deduplicated: on the features where the report counts duplicates, else on whole rows.
+
+    Both tables carry ``dataset``; a dataset without a report counts as not flagged. The
+    report has a row for each dataset, so it is broadcast.
+    """
+    flags = report.groupBy("dataset").agg(F.max(F.col("n_duplicates") > 0).alias("__flag"))
+    marked = tables.join(F.broadcast(flags), "dataset", "left").select(*tables.columns, F.coalesce("__flag", F.lit(False)).alias("__flag"))
+    flagged = dedupe(marked.filter("__flag").drop("__flag"), ["dataset", *features], order_by)
+    return flagged.unionByName(marked.filter("not __flag").drop("__flag").distinct())

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from modsieve.functions.text import WORD, word_count, words
 from modsieve.spec import COLUMNS, TableSpec
 
-MAX_CLASSES = 10
 GRID_POINTS = 200
 GRID_MARGIN = 3.0  # bandwidths beyond the shortest and the longest text
 
@@ -21,34 +20,28 @@ def _unpivot(df: DataFrame, columns: Sequence[str], carry: Sequence[str] = ()) -
     return df.select(*carry, F.inline(pairs))
 
 
-def class_distribution(df: DataFrame, columns: Sequence[str], max_classes: int = MAX_CLASSES) -> DataFrame:
-    """Per categorical column its number of classes; with few classes, each class and its rows.
+def class_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every class of every categorical column with its rows, and the column's number of classes.
 
     A null class is listed, with no count, and does not count as a class.
     """
     counts = _unpivot(df, columns).groupBy("column", "class").agg(F.count("class").alias("n_rows"))
     sizes = counts.groupBy("column").agg(F.count("class").alias("n_classes"))
-    few = F.col("n_classes") <= max_classes
-    listed = counts.join(sizes, "column").filter(few)
-    many = sizes.filter(~few).select("column", F.lit(None).alias("class"), F.lit(None).alias("n_rows"), "n_classes")
+    # One row for each named column: small whatever the table holds.
+    listed = counts.join(F.broadcast(sizes), "column")
     shown = F.when(F.col("class").isNotNull(), F.col("n_rows"))
-    return listed.select("column", "class", shown.alias("n_rows"), "n_classes").unionByName(many)
+    return listed.select("column", "class", shown.alias("n_rows"), "n_classes")
 
 
-def target_distribution(
-    df: DataFrame, columns: Sequence[str], target: str = COLUMNS.label, max_classes: int = MAX_CLASSES
-) -> DataFrame:
-    """Rows per (class, target) for the columns with few classes, other than the target."""
+def target_distribution(df: DataFrame, columns: Sequence[str], target: str = COLUMNS.label) -> DataFrame:
+    """Rows per (class, target) for every column other than the target."""
     columns = [c for c in columns if c != target]
-    counts = (
+    return (
         _unpivot(df, columns, [target])
         .filter(F.col("class").isNotNull() & F.col(target).isNotNull())
         .groupBy("column", "class", target)
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    sizes = _unpivot(df, columns).groupBy("column", "class").agg(F.count("class").alias("n")).groupBy("column")
-    few = sizes.agg(F.count("class").alias("n_classes")).filter(F.col("n_classes") <= max_classes)
-    return counts.join(few.select("column"), "column", "left_semi")
 
 
 def text_length(col: Column, unit: str) -> Column:
@@ -147,21 +140,31 @@ def vocabulary_stats(df: DataFrame, column: str) -> DataFrame:
 
 
 def length_density(df: DataFrame, column: str, unit: str = "word", points: int = GRID_POINTS) -> DataFrame:
-    """Gaussian kernel density of the lengths on a regular grid, Scott's bandwidth."""
+    """Gaussian kernel density of the lengths on a regular grid, Scott's bandwidth.
+
+    Lengths that are all equal (one text, too) have no spread: the density is null at that
+    length, on every point. The sums over the histogram are one row, which is broadcast; the
+    histogram itself is spread over the tasks before it meets the grid.
+    """
     histogram = length_histogram(df, column, unit)
-    whole = Window.partitionBy()
     n, length = F.col("n").cast("double"), F.col("length").cast("double")
-    measured = (
-        histogram.withColumn("m", F.sum(n).over(whole))
-        .withColumn("mean", F.sum(n * length).over(whole) / F.col("m"))
-        .withColumn("var", F.sum(n * F.pow(length - F.col("mean"), 2.0)).over(whole) / (F.col("m") - 1))
-        .withColumn("bw", F.sqrt("var") * F.pow(F.col("m"), F.lit(-0.2)))
-        .withColumn("lo", F.min(length).over(whole) - GRID_MARGIN * F.col("bw"))
-        .withColumn("hi", F.max(length).over(whole) + GRID_MARGIN * F.col("bw"))
-    )
-    step = (F.col("hi") - F.col("lo")) / (points - 1)
+    wide = "decimal(38,0)"
+    rows, total = F.sum("n"), F.sum(F.col("length") * F.col("n")).cast("decimal(19,0)")
+    squares = F.sum((F.col("length") * F.col("length")).cast("decimal(20,0)") * F.col("n").cast("decimal(18,0)")).cast(wide)
+    spread = (rows.cast(wide) * squares - total * total).cast("double")
+    facts = histogram.agg(
+        rows.cast("double").alias("m"),
+        F.sqrt(F.try_divide(spread, rows.cast("double") * (rows - 1).cast("double"))).alias("sd"),
+        F.min(length).alias("least"),
+        F.max(length).alias("most"),
+    ).withColumn("bw", F.coalesce("sd", F.lit(0.0)) * F.pow(F.col("m"), F.lit(-0.2)))
+    spread_out = histogram.repartition("length").withColumn("one", F.lit(1))
+    measured = spread_out.join(F.broadcast(facts.withColumn("one", F.lit(1))), "one")
+    low, high = F.col("least") - GRID_MARGIN * F.col("bw"), F.col("most") + GRID_MARGIN * F.col("bw")
+    step = (high - low) / (points - 1)
     on_grid = measured.select(
-        "n", "length", "m", "bw", "lo", step.alias("step"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+        "n", "length", "m", F.nullif("bw", F.lit(0.0)).alias("bw"), low.alias("lo"), step.alias("step"),
+        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     ).withColumn("x", F.col("lo") + F.col("point") * F.col("step"))
     z = (F.col("x") - length) / F.col("bw")
     kernel = F.col("n") * F.exp(-0.5 * z * z) / (F.col("m") * F.col("bw") * F.sqrt(F.lit(2 * 3.141592653589793)))
@@ -178,7 +181,7 @@ def top_terms(df: DataFrame, column: str, stop_words: Sequence[str], k: int) ->
     return kept.orderBy(F.desc("n"), "word").limit(k)
 
 
-def statistics_report(df: DataFrame, spec: TableSpec, max_classes: int = MAX_CLASSES) -> DataFrame:
+def statistics_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     """(column, metric, class, target, value) for every declared column the table has.
 
     Categorical columns: number of classes, rows per class and per (class, target).
@@ -200,13 +203,12 @@ def statistics_report(df: DataFrame, spec: TableSpec, max_classes: int = MAX_CLA
         )
 
     if categorical:
-        counted = class_distribution(df, categorical, max_classes)
+        counted = class_distribution(df, categorical)
         sizes = counted.groupBy("column").agg(F.max("n_classes").alias("n"))
         add(sizes, F.col("column"), F.lit("n_classes"), F.col("n"))
-        classes = counted.filter(F.col("n_classes") <= max_classes)
-        add(classes, F.col("column"), F.lit("class_rows"), F.col("n_rows"), F.col("class"))
+        add(counted, F.col("column"), F.lit("class_rows"), F.col("n_rows"), F.col("class"))
         if spec.target in df.columns and spec.target in categorical:
-            by_target = target_distribution(df, categorical, spec.target, max_classes)
+            by_target = target_distribution(df, categorical, spec.target)
             add(by_target, F.col("column"), F.lit("target_rows"), F.col("n_rows"), F.col("class"), F.col(spec.target).cast("string"))
     for column in texts:
         wide = [(length_stats(df, column, unit), f"{unit}_length_") for unit in ("word", "char")]
