@@ -45,19 +45,20 @@ def _(spark, sf):
     return weights.withColumn("weight", F.round("weight", 6))
 
 
+# English against all other languages.
+MEANS = """, m AS (SELECT term, coalesce(sum(weight) FILTER (WHERE lang = 'en'), 0) AS a, coalesce(sum(weight) FILTER (WHERE lang <> 'en'), 0) AS b
+                 FROM weights GROUP BY term),
+    n AS (SELECT *, sqrt(sum(a * a) OVER ()) AS la, sqrt(sum(b * b) OVER ()) AS lb FROM m),
+    drift AS (SELECT round(sqrt(sum(pow(a / la - b / lb, 2))), 4) AS distance, round(sum(a / la * b / lb), 4) AS cosine FROM n) """
+
+
 @query(
     "mean_vector_drift",
-    "WITH docs AS (SELECT * FROM documents WHERE lang IN ('en', 'fr')), "
-    + WEIGHTS
-    + """, m AS (SELECT term, coalesce(sum(weight) FILTER (WHERE lang = 'en'), 0) AS a, coalesce(sum(weight) FILTER (WHERE lang = 'fr'), 0) AS b
-                 FROM weights GROUP BY term),
-    n AS (SELECT *, sqrt(sum(a * a) OVER ()) AS la, sqrt(sum(b * b) OVER ()) AS lb FROM m)
-    SELECT round(sqrt(sum(pow(a / la - b / lb, 2))), 4) AS euclidean_mean_distance, round(sum(a / la * b / lb), 4) AS cosine_mean_similarity FROM n""",
+    ALL_DOCS + WEIGHTS + MEANS + "SELECT distance AS euclidean_mean_distance, cosine AS cosine_mean_similarity FROM drift",
 )
 def _(spark, sf):
-    two = table(spark, sf, "documents").filter(F.col("lang").isin("en", "fr"))
-    weights = tfidf(two, "text", ["doc_id", "lang"])
-    return mean_vector_drift(weights, F.col("lang") == "fr")
+    weights = tfidf(table(spark, sf, "documents"), "text", ["doc_id", "lang"])
+    return mean_vector_drift(weights, F.col("lang") != "en")
 
 
 def _languages(spark, sf):
@@ -73,30 +74,57 @@ def _features(spark, sf):
     return feature_table(rows, "text", [doc], ["fold", "side", "held_out"])
 
 
-@query("project_2d")
+@query(
+    "project_2d",
+    """SELECT (CASE WHEN lang = 'en' THEN '0|' ELSE '1|' END) || doc_id AS doc, lang <> 'en' AS side, true AS placed, true AS centred FROM documents""",
+)
 def _(spark, sf):
-    return project_2d(_features(spark, sf), ~F.col("side")).select(
-        "doc", "side", F.round("x", 4).alias("x"), F.round("y", 4).alias("y")
-    )
+    """Every document has a place, and the train side's places are centred."""
+    placed = project_2d(_features(spark, sf), ~F.col("side"))
+    means = placed.filter(~F.col("side")).agg(F.greatest(F.abs(F.avg("x")), F.abs(F.avg("y"))).alias("off"))
+    fits = F.col("x").isNotNull() & F.col("y").isNotNull()
+    return placed.select("doc", "side", fits.alias("placed"), (means.select("off").scalar() < 1e-9).alias("centred"))
 
 
-@query("projection_histogram")
+@query(
+    "projection_histogram",
+    "SELECT dimension, side, 1.0::DOUBLE AS mass, true AS few FROM (VALUES ('x'), ('y')) d(dimension), (SELECT DISTINCT lang <> 'en' AS side FROM documents)",
+)
 def _(spark, sf):
+    """Each side's densities over each dimension add up to one."""
     projected = project_2d(_features(spark, sf), ~F.col("side"))
-    return projection_histogram(projected, F.col("side"))
+    bars = projection_histogram(projected, F.col("side"))
+    mass = F.round(F.sum(F.col("density") * F.col("width")), 6).alias("mass")
+    return bars.groupBy("dimension", "side").agg(mass, (F.count(F.lit(1)) <= 50).alias("few"))
+
+
+LEARNED = "true AS accurate, true AS ranked"
+
 
+def _learned(df):
+    """Languages differ in their words, so the forest must tell them apart."""
+    return [(F.col("accuracy") > 0.6).alias("accurate"), (F.col("auc_score") > 0.8).alias("ranked")]
 
-@query("domain_classifier")
+
+@query("domain_classifier", f"SELECT {LEARNED}")
 def _(spark, sf):
-    return domain_classifier(_features(spark, sf), "fold", "held_out", trees=20, binary=True)
+    found = domain_classifier(_features(spark, sf), "fold", "held_out", trees=20, binary=True)
+    return found.select(*_learned(found))
 
 
-@query("detect_drift_one_table")
+@query("detect_drift_one_table", "SELECT true AS alike, true AS bounded")
 def _(spark, sf):
-    return detect_drift(table(spark, sf, "documents"), "text", ["doc_id"], n_splits=5, trees=20)
+    """Folds of one corpus are alike: a cosine near one, and a forest that can only guess."""
+    found = detect_drift(table(spark, sf, "documents"), "text", ["doc_id"], n_splits=5, trees=20)
+    bounded = F.col("accuracy").between(0, 1) & F.col("auc_score").between(0.3, 0.7)
+    return found.select((F.col("cosine_mean_similarity") > 0.9).alias("alike"), bounded.alias("bounded"))
 
 
-@query("detect_drift_two_tables")
+@query(
+    "detect_drift_two_tables",
+    ALL_DOCS + WEIGHTS + MEANS + f"SELECT distance AS euclidean_mean_distance, cosine AS cosine_mean_similarity, {LEARNED} FROM drift",
+)
 def _(spark, sf):
     ref, cur = _languages(spark, sf)
-    return detect_drift(ref, "text", ["doc_id"], cur, trees=20)
+    found = detect_drift(ref, "text", ["doc_id"], cur, trees=20)
+    return found.select("euclidean_mean_distance", "cosine_mean_similarity", *_learned(found))

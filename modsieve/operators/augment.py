@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ URLS_APPENDED = (1, 5)
 WORDS_APPENDED = (5, 14)
 WORDS_SWAPPED = (3, 10)
 LONGEST_SWAPPED = 10
+LEXICON_COPIES = 16
 NEGATION = rf"(?:N|n)ot?[{T.SPACE}]+"
 
 
@@ -119,9 +120,10 @@ def append_random_urls(df: DataFrame, col: str, bank: DataFrame, seed: int, key:
 def phonetic_swap(df: DataFrame, col: str, lexicon: DataFrame, seed: int, key: Key) -> DataFrame:
     """3-10 random words (fewer in shorter texts) become their pronunciation.
 
-    Words of more than ten characters and unknown words stay. ``lexicon`` has one
-    row per lower-case ``word`` with its ``phones``. Only the chosen words leave
-    the row to meet it.
+    Words of more than ten characters and unknown words stay. ``lexicon`` has rows of a
+    lower-case ``word`` and its ``phones``; of several, the first by ``place`` counts if there
+    is such a column, else the first in alphabetical order. Only the chosen words leave the
+    row to meet it, spread over several copies of the lexicon, as few words make up most texts.
     """
     words = F.split(F.col(col), rf"[{T.SPACE}]+", -1)
     low, high = WORDS_SWAPPED
@@ -139,9 +141,14 @@ def phonetic_swap(df: DataFrame, col: str, lexicon: DataFrame, seed: int, key: K
         .select(*key, "__i", F.lower("__word").alias("word"))
     )
     sound = F.lower(F.regexp_replace("phones", rf"[{T.SPACE}\p{{Nd}}]", ""))
-    known = lexicon.select("word", sound.alias("__sound"))
+    order = F.struct("place", "phones") if "place" in lexicon.columns else F.struct("phones")
+    single = lexicon.groupBy("word").agg(F.min(order)["phones"].alias("phones"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(LEXICON_COPIES - 1))).alias("__salt")
+    known = single.select("word", sound.alias("__sound"), salts)
+    salt = F.pmod(F.xxhash64(*key, "__i"), F.lit(LEXICON_COPIES)).cast("int")
     swaps = (
-        picks.join(known, "word")
+        picks.withColumn("__salt", salt)
+        .join(known, ["word", "__salt"])
         .groupBy(*key)
         .agg(F.map_from_entries(F.collect_list(F.struct("__i", "__sound"))).alias("__swaps"))  # at most ten
     )
@@ -173,12 +180,12 @@ class Context:
 @dataclass(frozen=True)
 class Operation:
     apply: Callable[[DataFrame, Context], DataFrame]
-    touches: tuple[str, ...] = field(default=())  # columns besides the body
 
 
 def _with_bank(df: DataFrame, c: Context) -> DataFrame:
-    bank = url_bank(df, c.body, c.key) if c.bank is None else c.bank
-    return append_random_urls(df, c.body, bank, c.seed, c.key)
+    if c.bank is None:
+        raise ValueError("appending URLs needs a bank")
+    return append_random_urls(df, c.body, c.bank, c.seed, c.key)
 
 
 # The names under which the operations are configured.
@@ -189,7 +196,7 @@ OPERATIONS: dict[str, Operation] = {
     "transileration": Operation(lambda df, c: phonetic_swap(df, c.body, c.lexicon, c.seed, c.key)),
     "sentence_shuffle": Operation(lambda df, c: sentence_shuffle(df, c.body, c.seed, c.key)),
     "random_gen_sentence": Operation(lambda df, c: append_random_words(df, c.body, c.seed, c.key)),
-    "rule_flip": Operation(lambda df, c: rule_flip(df), (COLUMNS.rule, COLUMNS.label, "flip")),
+    "rule_flip": Operation(lambda df, c: rule_flip(df)),
 }
 
 
@@ -199,16 +206,18 @@ def share(value: float | int) -> float:
 
 
 def apply_with_probability(df: DataFrame, name: str, p: float | int, context: Context) -> DataFrame:
-    """Apply a named operation to a random share ``p`` of the rows."""
+    """Apply a named operation to a random share ``p`` of the rows; the others are not worked on.
+
+    Without a bank, URLs come from all rows of the table as given.
+    """
     operation, p = OPERATIONS[name], share(p)
+    if name == "random_url" and context.bank is None:
+        context = replace(context, bank=url_bank(df, context.body, context.key))
     if p >= 1:
         return operation.apply(df, context)
-    touched = [c for c in dict.fromkeys((context.body, *operation.touches)) if c in df.columns]
-    kept = df.withColumn("__was", F.struct(*touched))
     hit = uniform(seeded(context.seed, f"apply {name}", *context.key)) < F.lit(float(p))
-    changed = operation.apply(kept, context)
-    back = {c: F.when(hit, F.col(c)).otherwise(F.col("__was")[c]) for c in touched}
-    return changed.withColumns(back).select(df.columns)
+    changed = operation.apply(df.filter(hit), context).select(df.columns)
+    return changed.unionByName(df.filter(~hit))
 
 
 def augment(
@@ -226,10 +235,12 @@ def augment(
 
     With the originals kept, every copy is sampled to ``frac``. Output: the
     input's columns and ``copy`` (0 is the original), one row per (rule, body),
-    the originals first.
+    the originals first. Without a bank, appended URLs come from the table as given.
     """
+    if context.bank is None and any(name == "random_url" for name, _ in operations):
+        context = replace(context, bank=url_bank(df, context.body, context.key))
     copies = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(resample))))
-    keyed = Context(context.seed, [*context.key, "copy"], context.body, context.bank, context.lexicon)
+    keyed = replace(context, key=[*context.key, "copy"])
     for name, p in operations:
         copies = apply_with_probability(copies, name, p, keyed)
     if tta and "weight" in df.columns:

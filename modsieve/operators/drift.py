@@ -34,9 +34,8 @@ def terms(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True)
 
 
 def term_counts(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True) -> DataFrame:
-    """(key, term, tf). The texts are moved by key once; counting needs no further exchange."""
-    moved = df.select(*key, column).repartition(*key)
-    return terms(moved, column, key, bigrams).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(key, term, tf). A document is one row, so its counts are complete before they move."""
+    return terms(df, column, key, bigrams).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(occurrences: DataFrame, dimension: int = DIMENSION) -> DataFrame:
@@ -48,14 +47,13 @@ def vocabulary(occurrences: DataFrame, dimension: int = DIMENSION) -> DataFrame:
 def tfidf(df: DataFrame, column: str, key: Sequence[str], dimension: int = DIMENSION, bigrams: bool = True) -> DataFrame:
     """(key, term, weight), every document's weights of length one.
 
-    Only terms of the vocabulary are counted per document. The texts move by key
-    once, which serves the counting, the document frequencies and the norms.
+    Only terms of the vocabulary are counted per document. No text moves: a document's
+    occurrences are combined where it is read, into at most ``dimension`` rows.
     """
     key = list(key)
     # Both broadcasts hold at most ``dimension`` rows, whatever the corpus.
     vocab = F.broadcast(vocabulary(terms(df, column, key, bigrams), dimension).select("term"))
-    moved = df.select(*key, column).repartition(*key)
-    counts = terms(moved, column, key, bigrams).join(vocab, "term").groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    counts = terms(df, column, key, bigrams).join(vocab, "term").groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
     spread = F.broadcast(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     n = df.agg(F.count(F.lit(1))).scalar()
     raw = F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)
@@ -66,13 +64,16 @@ def tfidf(df: DataFrame, column: str, key: Sequence[str], dimension: int = DIMEN
 
 
 def mean_vector_drift(weights: DataFrame, side: Column) -> DataFrame:
-    """Distance and cosine of the two sides' mean vectors, scaled to length one."""
+    """Distance and cosine of the two sides' mean vectors, scaled to length one.
+
+    Both are null if a side has no terms.
+    """
     per_term = weights.groupBy("term").agg(
         F.sum(F.when(~side, F.col("weight"))).alias("a"), F.sum(F.when(side, F.col("weight"))).alias("b")
     )
     a, b = F.coalesce("a", F.lit(0.0)), F.coalesce("b", F.lit(0.0))
-    cosine = F.sum(a * b) / F.sqrt(F.sum(a * a) * F.sum(b * b))
-    distance = F.sqrt(F.greatest(2 - 2 * F.col("cosine"), F.lit(0.0)))
+    cosine = F.try_divide(F.sum(a * b), F.sqrt(F.sum(a * a) * F.sum(b * b)))
+    distance = F.when(F.col("cosine").isNotNull(), F.sqrt(F.greatest(2 - 2 * F.col("cosine"), F.lit(0.0))))
     return per_term.agg(cosine.alias("cosine")).select(
         F.round(distance, 4).alias("euclidean_mean_distance"), F.round("cosine", 4).alias("cosine_mean_similarity")
     )
@@ -111,7 +112,10 @@ def project_2d(features: DataFrame, train: Column) -> DataFrame:
 
 
 def projection_histogram(projected: DataFrame, side: Column, bins: int = 50) -> DataFrame:
-    """(dimension, side, bin, low, density) of the projected rows, equal bins over both sides."""
+    """(dimension, side, bin, low, width, density) of the projected rows, equal bins over both sides.
+
+    If all values of a dimension are equal they lie in bin 0, with a null density.
+    """
     points = projected.select(
         side.alias("side"),
         F.inline(
@@ -125,7 +129,7 @@ def projection_histogram(projected: DataFrame, side: Column, bins: int = 50) ->
     width = (F.col("hi") - F.col("lo")) / bins
     # Two rows, one per dimension.
     placed = points.join(F.broadcast(ranges), "dimension").withColumn(
-        "bin", F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
+        "bin", F.coalesce(F.least(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(bins - 1)), F.lit(0)).cast("int")
     )
     counted = placed.groupBy("dimension", "side", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("dimension", "side"))  # at most ``bins`` rows each
@@ -134,7 +138,8 @@ def projection_histogram(projected: DataFrame, side: Column, bins: int = 50) ->
         "side",
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("low"),
-        (F.col("n") / (total * width)).alias("density"),
+        width.alias("width"),
+        F.try_divide(F.col("n"), total * width).alias("density"),
     )
 
 

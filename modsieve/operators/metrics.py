@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 
 def _search_steps(spark: SparkSession) -> int:
-    """Halvings that give at least four score ranges per shuffle partition."""
+    """Halvings that give at least four score ranges per shuffle partition, 65,536 at most.
+
+    The cuts travel with the plan, and more ranges than that serve no cluster.
+    """
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(max((ranges - 1).bit_length(), 5), 13)
+    return min(max((ranges - 1).bit_length(), 5), 16)
 
 
 def running_before(histogram: DataFrame, value: str, amounts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -92,11 +95,11 @@ def positive_probability(logits: Column) -> Column:
 
 
 def ensemble_mean(predictions: DataFrame, key: str = "row_id", score: str = "prediction", weight: str | None = None) -> DataFrame:
-    """Weighted mean score per row over stacked predictions."""
+    """Weighted mean score per row over stacked predictions; null where the weights sum to zero."""
     if weight is None:
         return predictions.groupBy(key).agg(F.avg(score).alias(score))
     total = F.sum(F.when(F.col(score).isNotNull(), F.col(weight)))
-    return predictions.groupBy(key).agg((F.sum(F.col(weight) * F.col(score)) / total).alias(score))
+    return predictions.groupBy(key).agg(F.try_divide(F.sum(F.col(weight) * F.col(score)), total).alias(score))
 
 
 def sharpen(df: DataFrame, score: str, power: float = 0.5, threshold: float = 0.5) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from modsieve.keys import digests
+from modsieve.session import cut_lineage
 from modsieve.spec import INTEGER_NAMES, TEXT_NAMES, TableSpec
 
 REPORT_SCHEMA = "check string, column string, metric string, value double, detail string"
@@ -100,13 +101,28 @@ def duplicate_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     return counts.withColumn("purity", duplicate_purity(F.col("raw_count"), F.col("n_duplicates")))
 
 
+def is_key(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Do the columns tell all rows apart, without nulls? Only their digests move."""
+    names = digests(df, columns)
+    nulls = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    groups = df.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.max(nulls).alias("none"))
+    return groups.filter("n > 1 or none").isEmpty()
+
+
 def tag_first(df: DataFrame, features: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Add ``is_first``: is the row the first of its feature group by the unique key ``order_by``?
+    """Add ``is_first``: is the row the first of its feature group by ``order_by``?
 
     The group minimum is combined before it is shuffled and joined back on the
-    key, so a group with a third of all rows never meets in one task.
+    key, so a group with a third of all rows never meets in one task. An order that does not
+    tell all rows apart (copies, or nulls in it) is completed by a row number, stored once.
     """
     order_by = list(order_by)
+    if not is_key(df, order_by):
+        landed = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
+        firsts = landed.groupBy(*digests(df, features)).agg(F.min(F.struct(*order_by, "__row")).alias("first"))
+        firsts = firsts.select(F.col("first.__row").alias("__row"), F.lit(True).alias("__first"))
+        tagged = landed.join(firsts, "__row", "left").withColumn("is_first", F.coalesce("__first", F.lit(False)))
+        return tagged.drop("__first", "__row")
     groups = df.groupBy(*digests(df, features))
     if len(order_by) == 1:  # a plain minimum aggregates by hash, a struct by sorting
         firsts = groups.agg(F.min(order_by[0]).alias(order_by[0])).select(*order_by)
@@ -179,8 +195,8 @@ def validate(
 ) -> Validation:
     """All checks in order; rejected rows are kept together with the reason.
 
-    A missing column or a wrong type is fatal: ``strict`` raises, otherwise the
-    table is returned untouched with ``ok=False`` and the report names the columns.
+    A missing column or a wrong type is fatal: ``strict`` raises, otherwise no row is valid,
+    all are rejected for their ``layout``, ``ok`` is False and the report names the columns.
     """
     absent = absent_columns(df, spec, train)
     conflicts = type_conflicts(df, spec)
@@ -190,7 +206,8 @@ def validate(
         found = [("missing_columns", c, "absent", None, None) for c in absent]
         found += [("dtype_mismatch", c, d, None, f) for c, d, f in conflicts]
         report = df.sparkSession.createDataFrame(found, REPORT_SCHEMA)
-        return Validation(df, df.limit(0).withColumn("reject_reason", F.lit("")), report, False)
+        tagged = df.withColumn("reject_reason", F.lit("layout"))
+        return Validation(df.limit(0), tagged, report, False, tagged)
 
     return verdicts(tag_rejects(df, spec, order_by or spec.key))
 

@@ -6,27 +6,46 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from modsieve.spec import COLUMNS, TableSpec
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Even out a bare scan that has fewer splits than there are cores.
+def read_csv(spark: SparkSession, path: str, spec: TableSpec | None = None, multi_line: bool = True) -> DataFrame:
+    """A CSV table by the names in its header, whatever their order.
 
-    A file with one large row group cannot be split, and text work would run on one
-    core. Tables with enough splits, as large ones have, are left alone.
+    Declared columns that the file lacks stay absent, so the layout check reports them. A
+    column gets its declared type if every value fits; otherwise it stays text, and the type
+    check counts the values that do not fit. One pass over the file decides that for all
+    columns. ``multi_line`` allows line breaks inside quotes but makes each file one task.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    raw = reader.csv(path)
+    if spec is None:
+        return raw
+    types = {f.name: f.dataType for f in spec.schema.fields}
+    declared = [c for c in spec.columns if c in raw.columns]
+    typed = [c for c in declared if not isinstance(types[c], T.StringType)]
+    fits: set[str] = set()
+    if typed:
+        bad = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull()).alias(c) for c in typed]
+        found = raw.agg(*bad).first()  # one row of counts
+        fits = {c for c in typed if found[c] == 0}
+    kept = [c for c in raw.columns if c in declared]
+    return raw.select(*[F.col(c).cast(types[c]).alias(c) if c in fits else F.col(c) for c in kept])
 
 
 def read_sources(
-    spark: SparkSession, paths: Mapping[str, str], specs: Mapping[str, TableSpec] | None = None, with_file: bool = False
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    specs: Mapping[str, TableSpec] | None = None,
+    with_file: bool = False,
+    multi_line: bool = True,
 ) -> dict[str, DataFrame]:
     """One table per named file or directory, CSV or Parquet by the path's ending.
 
-    A declared layout is the schema: nothing is inferred, and of a Parquet file only
-    the declared columns are read. ``with_file`` adds the source ``file``.
+    Only declared columns are kept, in the table's own order; see ``read_csv`` for what
+    happens when a CSV file does not fit. ``with_file`` adds the source ``file``.
     """
     tables = {}
     for name, path in paths.items():
@@ -35,8 +54,7 @@ def read_sources(
             df = spark.read.parquet(path)
             declared = [c for c in spec.columns if c in df.columns] if spec else df.columns
         else:
-            reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-            df = (reader.schema(spec.schema) if spec else reader).csv(path)
+            df = read_csv(spark, path, spec, multi_line)
             declared = df.columns
         extra = [F.col("_metadata.file_name").alias("file")] if with_file else []
         tables[name] = df.select(*declared, *extra)

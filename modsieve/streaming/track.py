@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +21,24 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: tuple
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def update_stream(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Store the rows that each batch changes, in a folder of that batch; a repeated batch replaces its own."""
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    writer = df.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def latest(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
+    """The newest state of every key that ``update_stream`` has stored."""
+    rows = spark.read.parquet(path)
+    names = [c for c in rows.columns if c not in (*key, "batch")]
+    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*names), "batch").alias("r"))
+    return newest.select(*key, "r.*")
+
+
 def stream_score_and_track(stream: DataFrame, model: PipelineModel, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Score arriving rows and append (id, body, violation, timestamp) to the tracking table."""
     rows = tracking_rows(score(model, stream), F.current_timestamp(), "prediction")
