@@ -178,6 +178,22 @@ def _(spark, sf):
     return A.apply_with_probability(linked(spark, sf).select("row_id", "body"), "url_to_semantics", 40, A.Context(SEED))
 
 
+@query(
+    "augment_random_url_after_cleaning",
+    with_tables("linked", "", "SELECT count(*) * 2 AS n_rows, count(*) AS n_appended, true AS known FROM linked"),
+)
+def _(spark, sf):
+    """After the texts' own URLs are gone, the appended ones still come from the table as given."""
+    base = linked(spark, sf).select("row_id", F.lit("r").alias("rule"), F.concat_ws(" ", "row_id", "body").alias("body"))
+    out = A.augment(base, [("url_cleaner", 1.0), ("random_url", 1.0)], A.Context(SEED))
+    bank = A.url_bank(base, "body", KEY).select("url").distinct().withColumn("__known", F.lit(True))
+    found = A.url_bank(out.filter("copy = 1"), "body", KEY).join(bank, "url", "left")
+    found = found.groupBy("row_id").agg(F.bool_and(F.coalesce("__known", F.lit(False))).alias("known"))
+    counts = found.agg(F.count(F.lit(1)).alias("n_appended"), F.bool_and("known").alias("known"))
+    rows = out.agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.withColumns({c: counts.select(c).scalar() for c in ("n_appended", "known")})
+
+
 @query(
     "augment",
     with_tables(

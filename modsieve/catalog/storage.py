@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from modsieve.catalog.fixtures import model_scores, reviews, scores, table, with_tables
 from modsieve.catalog.folding import SEED, folds_sql
 from modsieve.catalog.registry import query
-from modsieve.catalog.validation import COLS, ROW
+from modsieve.catalog.validation import COLS, EVENT_TABLE, ROW
 from modsieve.operators.folds import sample_fraction, stratified_kfold
-from modsieve.operators.validate import duplicate_report
+from modsieve.operators.validate import dtype_mismatch, duplicate_report
 from modsieve.session import work_path
 from modsieve.sources.tables import (
     conform_union,
@@ -47,6 +47,28 @@ def _(spark, sf):
     return tables["documents"].withColumn("dataset", F.lit("documents"))
 
 
+@query("read_csv_shuffled_columns", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def _(spark, sf):
+    """The file's columns stand in another order than declared, with one more among them."""
+    columns = ["text", "n_chars", F.lit("x").alias("extra"), "source", "doc_id", "lang"]
+    path = write_stage(table(spark, sf, "documents").select(*columns), fresh(spark, "csv-order"), "raw", "documents", "csv")
+    return read_sources(spark, {"documents": path}, {"documents": DOCUMENTS})["documents"]
+
+
+@query(
+    "csv_uncastable",
+    """SELECT 'value' AS "column", 'int64' AS dtype, 'string' AS found, count(value) AS n_uncastable FROM events
+       UNION ALL
+       SELECT 'props', 'int64', 'string', count(*) FILTER (WHERE props IS NOT NULL AND try_cast(props AS BIGINT) IS NULL) FROM events""",
+)
+def _(spark, sf):
+    """Values that do not fit the declared whole numbers; the other columns get their types."""
+    columns = ["props", "value", "event_id", "user_id", "event_type"]
+    path = write_stage(table(spark, sf, "events").select(*columns), fresh(spark, "csv-types"), "raw", "events", "csv")
+    read = read_sources(spark, {"events": path}, {"events": EVENT_TABLE})["events"]
+    return dtype_mismatch(read, EVENT_TABLE)
+
+
 NAME = "lang || CASE WHEN n_chars % 2 = 0 THEN '_test' ELSE '' END || CASE WHEN n_chars % 3 = 0 THEN '_sub' ELSE '' END || '.csv'"
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modsieve.session import cut_lineage
+
 UNIFORM_SCALE = 4294967296.0  # 16**8: eight hex digits of an md5
 
 
@@ -51,6 +53,21 @@ def bucket_digits(spark: SparkSession) -> int:
     return digits
 
 
+def running_total(df: DataFrame, order: Sequence[str], amount: str, out: str) -> DataFrame:
+    """Add the sum of ``amount`` over all earlier rows by the unique ``order``, without one task for all.
+
+    Rows are dealt by ranges of the order and stored, since the ranges are drawn from a sample;
+    sums continue from range to range.
+    """
+    placed = cut_lineage(df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()))
+    earlier = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    ranges = placed.groupBy("__p").agg(F.sum(amount).alias("__t0"))
+    ranges = ranges.select("__p", F.coalesce(F.sum("__t0").over(earlier), F.lit(0)).alias("__o"))
+    inside = Window.partitionBy("__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = F.coalesce(F.sum(amount).over(inside), F.lit(0))
+    return placed.withColumn(out, local).join(F.broadcast(ranges), "__p").withColumn(out, F.col(out) + F.col("__o")).drop("__p", "__o")
+
+
 def number_rows(
     df: DataFrame,
     strata: Sequence[str],
@@ -99,8 +116,7 @@ def number_rows(
     if before:
         # One row per stratum: small next to the rows, and never the rows themselves.
         sums = counts.groupBy("__s").agg(F.sum("__n").alias("__t"))
-        passed = Window.orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-        sums = sums.select("__s", F.coalesce(F.sum("__t").over(passed), F.lit(0)).alias(before))
+        sums = running_total(sums, ["__s"], "__t", before).select("__s", before)
         offsets = offsets.join(sums, "__s")
         extra.append(before)
     offsets = offsets.select(*by, "__b", "__off", *extra)

@@ -129,7 +129,7 @@ def projection_histogram(projected: DataFrame, side: Column, bins: int = 50) ->
     width = (F.col("hi") - F.col("lo")) / bins
     # Two rows, one per dimension.
     placed = points.join(F.broadcast(ranges), "dimension").withColumn(
-        "bin", F.coalesce(F.least(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(bins - 1)), F.lit(0)).cast("int")
+        "bin", F.when(width > 0, F.least(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(bins - 1))).otherwise(0).cast("int")
     )
     counted = placed.groupBy("dimension", "side", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("dimension", "side"))  # at most ``bins`` rows each

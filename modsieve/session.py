@@ -7,7 +7,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
+_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "16g") -> SparkSession:
@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "16
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -40,9 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     app = context.applicationId
     if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="modsieve-")
-        context.setCheckpointDir(_local_dirs[app])
-    return _local_dirs[app]
+        _local_dirs[app] = tempfile.TemporaryDirectory(prefix="modsieve-")  # goes when Python ends
+        context.setCheckpointDir(_local_dirs[app].name)
+    return _local_dirs[app].name
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:
