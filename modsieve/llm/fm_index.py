@@ -108,8 +108,8 @@ def shared_windows(length: int):
         first = starts + np.arange(runs)
         at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         out = np.zeros(len(at), bool)
-        for k in range(0, len(at), 1 << 17):
-            some = at[k : k + (1 << 17)]
+        for k in range(0, len(at), 1 << 16):
+            some = at[k : k + (1 << 16)]
             low, high = index.intervals(t[some[:, None] + np.arange(length)])
             out[k : k + len(some)] = index.earliest(low, high) < some
         return out

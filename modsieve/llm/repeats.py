@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from modsieve.llm import units
 from modsieve.session import cut_lineage
 
-SHARD_UNITS = 1 << 20
-HOT_UNITS = 1 << 20
+SHARD_UNITS = 1 << 18
+HOT_UNITS = 1 << 19
 BROADCAST_ROWS = 1_000_000
 _HALF = units.U64(0xD1342543DE82EF95)
 _INVERSE = units.U64(pow(0xD1342543DE82EF95, -1, 1 << 64))

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 U64 = np.uint64
 _BYTE = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
