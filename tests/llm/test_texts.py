@@ -143,7 +143,7 @@ def test_site_rates_shrink(spark):
     got = {(r["__site"], r["__path"]): (r["site_rate"], r["path_rate"]) for r in rates.collect()}
     assert total == pytest.approx(604 / 2005)
     assert total < got["a", "p"][0] < 504 / 1004 and 100 / 1001 < got["b", "p"][0] < total
-    assert abs(got["a", "p"][1] - 0.5) < 0.01 and got["a", "q"][1] < 0.9
+    assert abs(got["a", "p"][1] - 0.5) < 0.01 and got["a", "q"][1] < 0.95
 
 
 def test_mixing(spark):
@@ -196,7 +196,7 @@ def test_stages_against_plain_code(spark, sf_dir):
     got = stages["near_copies"](spark, docs, sf_dir)
     assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == sorted(want)
 
-    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    items = [(str(r["item_id"]), r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     want = {r[0] for r in brute.contaminated(list(given.items()), items) if not r[-1]}
     assert {r["doc_id"] for r in stages["decontaminate"](spark, docs, sf_dir).collect()} == want
 
