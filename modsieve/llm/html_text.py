@@ -23,8 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modsieve.session import cut_lineage
+
 EXAMPLES = 4
 _CACHE = 256
+#: Examples of at most so many bytes in all are broadcast; more reach the pages by a shuffle.
+BROADCAST_BYTES = 32 << 20
+BROADCAST_ROWS = 1_000_000
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,19 +68,16 @@ _NAMES = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*
 
 
 class Node:
-    __slots__ = ("tag", "names", "children", "parent", "template", "_text", "_runs")
+    __slots__ = ("tag", "names", "label", "children", "parent", "template", "_text", "_runs")
 
     def __init__(self, tag: str, names: frozenset[str], parent: "Node | None"):
         self.tag, self.names, self.parent = tag, names, parent
+        self.label = (tag, names)
         self.children: list[Node | str] = []
         self.template = False
         self._text: str | None = None
         self._runs: list[list[Node]] | None = None
 
-    @property
-    def label(self) -> tuple:
-        return self.tag, self.names
-
     @property
     def text(self) -> str:
         """All text below, with single spaces (iterative, so depth does not matter)."""
@@ -235,14 +237,17 @@ def align(a: Node, b: Node) -> list[tuple[list[Node], list[Node]]]:
     return matched
 
 
-def mark_template(page: Node, examples: list[Node]) -> None:
-    """Flag nodes that are the same in most examples; two examples at least must agree."""
+def mark_template(page: Node, examples: list[tuple[Node, str]]) -> None:
+    """Flag nodes that are the same in most examples (trees with their own main texts).
+
+    Two examples at least must agree.
+    """
     votes: dict[int, int] = {}
     nodes: dict[int, Node] = {}
     usable = 0
-    own = main_text(page)
-    for example in examples:
-        if main_text(example) == own:
+    own = main_text(page) if examples else ""
+    for example, text in examples:
+        if text == own:
             continue  # a copy tells nothing
         usable += 1
         for mine, theirs in align(page, example):
@@ -331,16 +336,21 @@ def extract_text(
     picked = base.where("host is not null and html is not null").groupBy("host").agg(*drawn)
     each = picked.select("host", F.explode(F.array(*[f"e{i}" for i in range(examples)])).alias("e"))
     each = each.select("host", F.col("e.id").alias("id"), F.col("e.url").alias("url")).distinct()
+    each = cut_lineage(each)
+    each = F.broadcast(each) if each.count() <= BROADCAST_ROWS else each
     texts = base.select("host", "id", "url", "html").alias("b").join(
         each.alias("x"), F.expr("b.host = x.host and b.id <=> x.id and b.url <=> x.url")
     )
     texts = texts.select(F.col("b.host").alias("h"), "html").distinct()
     by_host = texts.groupBy("h").agg(F.array_sort(F.collect_list("html")).alias("examples"))  # few per host
     by_host = by_host.select("h", F.slice("examples", 1, 2 * examples).alias("examples"))
+    by_host = cut_lineage(by_host)
+    size = by_host.agg(F.sum(F.aggregate("examples", F.lit(0), lambda n, x: n + F.octet_length(x))).alias("n")).first()["n"]
+    by_host = F.broadcast(by_host) if (size or 0) <= BROADCAST_BYTES else by_host
     joined = base.join(by_host, F.col("host") == F.col("h"), "left").select("id", "url", "html", "host", "examples")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[Node]] = {}
+        known: dict[str, list[tuple[Node, str]]] = {}
         for batch in batches:
             texts = []
             hosts, sets = batch.column(3).to_pylist(), batch.column(4)
@@ -353,7 +363,8 @@ def extract_text(
                 if host is not None and host not in known:
                     if len(known) >= _CACHE:
                         known.clear()
-                    known[host] = [parse(x) for x in sets[i].as_py() or []]
+                    trees = [parse(x) for x in sets[i].as_py() or []]
+                    known[host] = [(t, main_text(t)) for t in trees]
                 tree = parse(page)
                 mark_template(tree, known.get(host, []) if host is not None else [])
                 texts.append(main_text(tree))
