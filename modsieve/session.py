@@ -33,10 +33,12 @@ def shared_dir(spark: SparkSession) -> str:
     cluster a missing setting is an error, because a machine-local folder would
     be lost with its executor.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return context.getCheckpointDir()
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     app = context.applicationId

@@ -126,7 +126,7 @@ def test_the_shared_folder_comes_from_the_session():
 
     named = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: "/shared/work"))
     assert shared_dir(named) == "/shared/work"
-    context = SimpleNamespace(master="yarn", applicationId="a")
+    context = SimpleNamespace(master="yarn", applicationId="a", getCheckpointDir=lambda: None)
     unnamed = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
     with pytest.raises(RuntimeError):
         shared_dir(unnamed)
