@@ -68,23 +68,25 @@ def _descend(gradient, size: int, steps: int, rate: float = 0.05) -> np.ndarray:
     return w
 
 
-def _fit_terms(rows: np.ndarray, places: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+def _fit_terms(documents: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic regression on term presence, scaled by the terms' log-odds ratios.
 
-    Terms that are seen less than three times or lean to neither side stay at zero.
+    Terms that are seen less than three times or lean to neither side stay at zero; only the
+    others are put together, so memory follows them and not all terms of the sample.
     """
     n, size = len(labels), features.DIMENSION
     weights = np.zeros(size)
     if n == 0 or labels.min() == labels.max():
         return weights, -30.0 if n == 0 or labels.max() == 0 else 30.0
-    positive = labels[rows] == 1
-    pos = np.bincount(places[positive], minlength=size)
-    neg = np.bincount(places[~positive], minlength=size)
+    seen = np.zeros((2, size), np.int32)
+    for places, label in zip(documents, labels):
+        seen[label, places] += 1  # a document has each term once
+    neg, pos = seen
     lean = np.log((pos + 0.5) / (labels.sum() + 0.5)) - np.log((neg + 0.5) / (n - labels.sum() + 0.5))
     lean[(pos + neg < 3) | (np.abs(lean) < np.log(4))] = 0
-    use = lean[places] != 0
-    rows, places = rows[use], places[use]
-    names, at = np.unique(places, return_inverse=True)
+    kept = [places[lean[places] != 0] for places in documents]
+    rows = np.repeat(np.arange(n), [len(k) for k in kept])
+    names, at = np.unique(np.concatenate(kept), return_inverse=True)
     values = lean[names][at]
 
     def gradient(w: np.ndarray) -> np.ndarray:
@@ -156,15 +158,12 @@ def fit(documents: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN)
 
     found = rows.mapInArrow(describe, "doc_id bigint, toxic int, quality int, places binary, shape binary")
     sample = sorted(found.collect(), key=lambda r: r[0])
-    places = [np.frombuffer(r["places"], "<i4").astype(np.int64) for r in sample]
+    places = [np.frombuffer(r["places"], "<i4") for r in sample]  # views
     shape = np.array([np.frombuffer(r["shape"], "<f4") for r in sample], float).reshape(len(sample), features.SHAPES)
 
     has = np.array([r["toxic"] is not None for r in sample], bool)
-    picks = [p for p, h in zip(places, has) if h]
-    owner = np.repeat(np.arange(len(picks)), [len(p) for p in picks]).astype(np.int64)
-    joined = np.concatenate(picks) if picks else np.zeros(0, np.int64)
     toxic = np.array([r["toxic"] for r in sample if r["toxic"] is not None], int)
-    weights, bias = _fit_terms(owner, joined, toxic)
+    weights, bias = _fit_terms([p for p, h in zip(places, has) if h], toxic)
     has = np.array([r["quality"] is not None for r in sample], bool)
     poor = np.array([1 - r["quality"] for r in sample if r["quality"] is not None], int)
     return Classifiers(weights != 0, weights, bias, *_fit_shapes(shape[has], poor))
