@@ -81,6 +81,28 @@ def test_licences(spark):
     assert licences.scan_licences(empty).collect() == []
 
 
+def test_licences_are_not_taken_for_others(spark):
+    """Notices that the given tables do not hold, among files that hold the frequent ones."""
+    usual = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0."]
+    cases = {
+        "Licensed under the ISC License.": ["ISC"], "Licensed under the BSD 3-Clause License.": ["BSD-3-Clause"], "Eclipse Public License 2.0": ["EPL-2.0"],
+        "This program is licensed under the GNU Affero General Public License, version 3.": ["AGPL-3.0"], "Licensed under the GNU General Public License, version 2.": ["GPL-2.0"],
+        "Licensed under the BSD License.": ["BSD"], "Licensed under the Apache License, Version 1.1.": ["Apache-1.1"], "Licensed under the Apache License, Version 7.3.": [], "Licensed under the Apache License.": ["Apache"],
+        "Licensed under the Quux License.": [], "This work is licensed under the Frobnicate Public License, version 3.": [], "SPDX-License-Identifier: MIT": ["MIT"],
+        "SPDX-License-Identifier: LicenseRef-Quux": [], "Licensed under CC BY-SA 3.0.": ["CC-BY-SA-3.0"], "Licensed under GPLv3.": ["GPL-3.0"],
+        "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n  13. Use with the GNU Affero General Public License.\n": ["GPL-3.0"],
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Keep it.\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": ["BSD-3-Clause"],
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.": ["ISC"],
+        "they ate under the tree and read the public notice": [],
+    }
+    rows = [(f"n{i}/f.py", f"word{i} other words\n{usual[i % 4]}") for i in range(240)] + [(f"p{i}/f.py", f"the plain prose number {i} under a tree") for i in range(4000)]
+    rows += [(f"c{i}/f.py", text) for i, text in enumerate(cases)]
+    df = spark.createDataFrame(rows, "path string, text string").repartition(3)
+    got = {r["path"]: r["licences"] for r in licences.scan_licences(df).collect()}
+    assert {text: got[f"c{i}/f.py"] for i, text in enumerate(cases)} == cases
+    assert all(len(got[f"n{i}/f.py"]) == 1 for i in range(240)) and not any(got[f"p{i}/f.py"] for i in range(4000))
+
+
 def test_licence_prefilter_loses_nothing():
     """Every segment without a needed term stays below the threshold."""
     rng = random.Random(2)
