@@ -11,8 +11,9 @@ parsed before anything is reported:
 * ``sshpub``: a length-prefixed key type followed by length-prefixed members to the end,
 * ``jwt``: three url-safe parts, the first two JSON objects, the first naming an algorithm.
 
-Wrapped (PEM-like) blocks are joined over line breaks before they are decoded. Offsets are
-code points, ends exclusive.
+Wrapped (PEM-like) blocks are joined over line breaks before they are decoded, also where lines
+are indented, quoted or commented, or where the breaks are escaped; both base64 alphabets are
+tried. Offsets are code points of the text as it is, ends exclusive.
 """
 
 from __future__ import annotations
@@ -36,9 +37,23 @@ _ASSIGN_HINT = re.compile(r"(?ai:passw|secre|token|api_?k)")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*")
-_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40,}(?:\r?\n[A-Za-z0-9+/]+)*={0,2}(?![A-Za-z0-9+/=])")
+#: A line break in a block of letters: blanks and indentation, quotes and comment marks, or an escaped break.
+_BREAK = (
+    r"""(?:[ \t]*+(?:\\{1,2}r)?(?:\\{1,2}n)?(?:["'][ \t]*+[+,.]?)?[ \t]*+\\?(?:\r\n?|\n)[ \t]*+(?:[#>*;]+[ \t]*+)?["']?"""
+    r"""|(?:\\{1,2}r)?\\{1,2}n[ \t]*+)"""
+)
+_BREAKS = re.compile(_BREAK)
+
+
+def _block(letters: str) -> re.Pattern:
+    # The letter of an escape is no part of the block behind it.
+    return re.compile(rf"(?:(?<![{letters}])(?!(?<=\\)[nrt])|(?<=\\[nrt]))[{letters}]{{40,}}(?:{_BREAK}[{letters}]+)*={{0,2}}")
+
+
+_BLOCKS = ((_block("A-Za-z0-9+/"), ""), (_block("A-Za-z0-9_-"), "-_"))
 _LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _MAGIC = b"openssh-key-v1\x00"
+_TYPES = (b"ssh-", b"ecds", b"sk-s", b"sk-e")
 _MAX_DEPTH = 12
 
 
@@ -56,12 +71,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def structural_spans(text: str) -> list[tuple[int, int, str]]:
     """Runs whose decoded bytes parse as a key or a signed token."""
     found = []
-    for m in _JWT.finditer(text):
-        if is_signed_token(m[0]):
-            found.append((m.start(), m.end(), "jwt"))
-    for m in _WRAPPED.finditer(text):
-        if unbase64(m[0][:8])[:1] in (b"0", b"o", b"\x00"):
-            found += _wrapped(m)
+    m = _JWT.search(text)
+    while m:
+        start = m.start() + (text[m.start() - 1 : m.start()] == "\\" and m[0][0] in "nrt")
+        if is_signed_token(text[start : m.end()]):
+            found.append((start, m.end(), "jwt"))
+            m = _JWT.search(text, m.end())
+        else:
+            m = _JWT.search(text, m.start() + m[0].index(".") + 1)
+    for block, marks in _BLOCKS:
+        for m in block.finditer(text):
+            if not marks or any(x in m[0] for x in marks):
+                found += _wrapped(text, m, marks)
     for m in _LONG_HEX.finditer(text):
         kind = key_kind(bytes.fromhex(m[0]))
         if kind:
@@ -69,14 +90,65 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def _wrapped(m: re.Match) -> list[tuple[int, int, str]]:
-    """The longest run of whole lines that parses: plain words may follow a wrapped key."""
-    ends = [b.start() for b in re.finditer(r"\r?\n", m[0])] + [len(m[0])]
-    for end in reversed(ends):
-        kind = key_kind(unbase64(re.sub(r"\s", "", m[0][:end])))
-        if kind:
-            return [(m.start(), m.start() + end, kind)]
-    return []
+def _wrapped(text: str, m: re.Match, marks: str) -> list[tuple[int, int, str]]:
+    """The longest runs of whole lines that parse: other lines may stand around a wrapped key."""
+    breaks = [b.span() for b in _BREAKS.finditer(text, m.start(), m.end())]
+    starts = [m.start(), *(b for _, b in breaks)]
+    ends = [*(a for a, _ in breaks), m.end()]
+    found, first = [], 0
+    while first < len(starts):
+        if not text.startswith(("M", "b3Bl", "AAAA"), starts[first]):  # what the three kinds of bytes begin with
+            first += 1
+            continue
+        last, kind = _parsed(text, starts, ends, first, marks)
+        if kind and (not marks or any(x in text[starts[first] : ends[last]] for x in marks)):
+            found.append((starts[first], ends[last], kind))
+            first = last
+        first += 1
+    return found
+
+
+def _parsed(text: str, starts: list[int], ends: list[int], first: int, marks: str) -> tuple[int, str | None]:
+    """The last line up to which the bytes from the first line on are a key."""
+
+    def plain(letters: str) -> str:
+        return letters.translate(str.maketrans("-_", "+/")) if marks else letters
+
+    head = unbase64(plain(text[starts[first] : starts[first] + 32]))
+    if not head.startswith((b"\x30", _MAGIC)) and not (head[:3] == b"\x00\x00\x00" and head[4:8] in _TYPES):
+        return first, None
+    most = max(_ends(head)) if head[0] == 0x30 else None
+    lines, sizes, n = [], [], 0
+    for at in range(first, len(starts)):
+        lines.append(text[starts[at] : ends[at]].rstrip("="))
+        n += len(lines[-1])
+        sizes.append(-1 if n % 4 == 1 else n * 3 // 4)  # one letter over is no byte
+        if most is not None and n * 3 // 4 >= most:
+            break
+    if most is not None and sizes[-1] != most:
+        return first, None
+    letters = plain("".join(lines))
+    data = unbase64(letters[: len(letters) - (len(letters) % 4 == 1)])
+    whole = _ends(data)
+    for last in range(len(sizes) - 1, -1, -1):
+        if sizes[last] > 0 and (whole is None or sizes[last] in whole):
+            return first + last, key_kind(data[: sizes[last]])
+    return first, None
+
+
+def _ends(data: bytes) -> set[int] | None:
+    """Lengths at which the bytes can end; any, if their beginning does not tell."""
+    if data.startswith(_MAGIC):
+        return None
+    if data[:1] == b"\x30":
+        count = data[1] & 0x7F if len(data) > 1 and data[1] & 0x80 else 0
+        size = int.from_bytes(data[2 : 2 + count], "big") if count else data[1] if len(data) > 1 else 0
+        return {2 + count + size}
+    out, at = set(), 0
+    while at + 4 <= len(data):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+        out.add(at)
+    return out
 
 
 def unbase64(letters: str) -> bytes:
@@ -94,7 +166,7 @@ def key_kind(data: bytes) -> str | None:
         return "openssh" if _counted(data, len(_MAGIC), 3, whole=False) else None
     if data[0] == 0x30:
         return "der" if is_private_key(data) else None
-    if data[:3] == b"\x00\x00\x00" and data[4:8] in (b"ssh-", b"ecds", b"sk-s", b"sk-e"):
+    if data[:3] == b"\x00\x00\x00" and data[4:8] in _TYPES:
         return "sshpub" if _counted(data, 0, 2, whole=True) else None
     return None
 

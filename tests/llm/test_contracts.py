@@ -175,6 +175,35 @@ def test_secrets(spark):
     assert masked[7] == "see [secret]\nwords follow"
 
 
+def test_secrets_in_other_forms():
+    """Keys behind '=', in indented, quoted and escaped lines, url-safe; tokens behind other parts."""
+    import base64
+    import json
+
+    def part(x):
+        return base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+
+    def found(text):
+        return [(kind, text[a:b]) for a, b, kind in secrets.structural_spans(text)]
+
+    inner = bytes([2, 1, 0, 0x30, 5, 6, 3, 43, 101, 112, 4, 0x82, 1, 0]) + bytes((255 - 7 * i) % 256 for i in range(256))
+    der = bytes([0x30, 0x82, *len(inner).to_bytes(2, "big")]) + inner
+    key, safe = base64.b64encode(der).decode(), base64.urlsafe_b64encode(der).decode()
+    assert key != safe
+    lines = [key[i : i + 64] for i in range(0, len(key), 64)]
+    for form in ("PRIVATE_KEY={}", "key={} x", "'{}'", "path: {}\nnext"):
+        assert found(form.format(key)) == [("der", key)], form
+        assert found(form.format(safe)) == [("der", safe)], form
+    for gap in ("\n", "\r\n", "\n    ", " \t\n\t", "\\n", "\\r\\n", "\\\\n", '\\n"\n  "', '\\n" +\n  "', "\n# ", "\\n\\\n"):
+        block = gap.join(lines)
+        assert found(f"-----BEGIN PRIVATE KEY-----{gap}{block}{gap}-----END PRIVATE KEY-----") == [("der", block)], gap
+        assert found(f"{'Q' * 64}{gap}{block}{gap}and more") == [("der", block)], gap
+    token = f"{part({'alg': 'HS256'})}.{part({'sub': 'x' * 9})}.abcdefghij"
+    assert found(f"session-id.{token}") == found(f"a1b2c3d4.longer-part.{token} z") == found(f"id\\n{token}") == [("jwt", token)]
+    assert found(f"{token} {token}") == [("jwt", token)] * 2
+    assert found("M" * 100_000) == found("MIIB" * 30 + " " * 100_000) == found("\n".join(["MIIBAAAA" * 8] * 3000)) == []
+
+
 def test_embeddings(spark):
     rng = random.Random(5)
     base = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(8)]
