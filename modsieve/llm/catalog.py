@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modsieve.llm import fm_index, oracles, suffix_array
+from modsieve.llm.bond import hard_negatives
 from modsieve.llm.decontaminate import contamination
 from modsieve.llm.embedding import embedding_links
 from modsieve.llm.html_text import extract_text
 from modsieve.llm.jaccard import jaccard_classes
+from modsieve.llm.lexical import ranked_search
 from modsieve.llm.licences import scan_licences
+from modsieve.llm.maxscore import top_k
 from modsieve.llm.mixing import mix
 from modsieve.llm.quality import judge
 from modsieve.llm.secrets import BASE_KINDS, find_secrets
@@ -136,3 +139,24 @@ def op8_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the windows of 20 words that occur earlier."""
     found = fm_index.drop_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", covered().alias("n_removed"), digest(F.col("kept")).alias("kept_sha256"))
+
+
+@register
+def op11_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    return top_k(embeddings, embeddings.where("vec_id % 20 = 0"), k=20, scale=64)
+
+
+@register
+def op12_bond(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives just below the nearest positives of every vector whose id is divisible by 100."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives(embeddings, embeddings.where("vec_id % 100 = 0"), scale=256).drop("positive_rank")
+
+
+@register
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)

@@ -81,4 +81,54 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM w LEFT JOIN words ON w.doc_id = words.doc_id LEFT JOIN items ON w.doc_id = items.doc_id
 """
 
-SQL = {"op6_embeddings": OP6, "op7_jaccard": OP7, "op8_fm_index": OP8, "op9_decontaminate": OP9}
+
+def _codes(scale: int, more: str = "") -> str:
+    """Sound vectors as whole numbers."""
+    return f"""
+    v AS (SELECT vec_id AS id{more}, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS c FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+OP11 = f"""
+WITH {_codes(64)},
+s AS (SELECT q.id AS query_id, v.id AS vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
+      FROM v q JOIN v ON q.id <> v.id WHERE q.id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+OP12 = f"""
+WITH {_codes(256, ", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label")},
+s AS (SELECT a.id AS anchor_id, v.id, a.label = v.label AS same, list_inner_product(a.c, v.c)::BIGINT AS score
+      FROM v a JOIN v ON a.id <> v.id WHERE a.id % 100 = 0 AND a.label IS NOT NULL AND v.label IS NOT NULL),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP13 = f"""
+WITH t AS (SELECT doc_id, unnest({_words(_TERM, True)}) AS t FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+sums AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM t GROUP BY doc_id, t),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, sums GROUP BY t),
+items AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest({_words(_TERM, True)}) AS t FROM benchmark) GROUP BY item_id, t),
+s AS (SELECT item_id, doc_id,
+             sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // terms)))))::BIGINT AS score
+      FROM items JOIN tf USING (t) JOIN w USING (t) JOIN lengths USING (doc_id), sums GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
+SQL = {
+    "op6_embeddings": OP6, "op7_jaccard": OP7, "op8_fm_index": OP8, "op9_decontaminate": OP9,
+    "op11_maxscore": OP11, "op12_bond": OP12, "op13_lexical": OP13,
+}
