@@ -1,13 +1,13 @@
-"""Exact top-k search by inner product: MaxScore over posting lists of signed dimensions.
-
-A term is a dimension with a sign; its posting list holds the rows whose component has that
-sign, with the component's size. A query component gains from the list of its own sign and
-loses to the other one, so the gains of some lists bound a row's score. The lists with the
-smallest bounds, as long as their bounds add up to less than the k-th best score so far, are
-not essential: a row found only there cannot enter. Essential lists are traversed; the rows
-met are then probed for losses and for the other lists while they can still compete. Rows are
-taken in chunks, and the k-th best score rises from chunk to chunk. Every shard returns its
-best rows, and the shards are merged by rank.
+"""Exact top-k search by inner product: MaxScore over the posting lists of dimensions.
+
+A term is a dimension; its posting list holds the rows in which it is not zero. What a query can
+gain from a list is bounded by its own component times the largest or the smallest one of the
+list. The lists with the smallest bounds, as long as these add up to no more than a share of
+the k-th best score so far, are not essential: a row without enough from the other lists
+cannot enter. Essential lists are traversed; the others are probed in order of their bounds, and only for the rows that can
+still compete. Rows are taken in chunks, and the k-th best score rises from chunk
+to chunk. Lists that hold most rows are stored as columns of a table. Every shard returns
+its best rows, and the shards are merged by rank.
 """
 
 from __future__ import annotations
@@ -22,71 +22,78 @@ from modsieve.session import cut_lineage
 
 CHUNK_ROWS = 4096
 PROBES = 8
+#: Bounds of the lists that are only probed, against the k-th best score; below 1 fewer rows are probed.
+SHARE = 0.25
+#: Lists are stored as such if less than this share of the components is not zero.
+SPARSE = 0.125
 SCHEMA = "q long, id long, score long"
 
 
 class Postings:
-    """Posting lists of a shard, cut at the chunks' edges, and its columns for probes."""
+    """A shard's posting lists, cut at the chunks' edges."""
 
     def __init__(self, ids: np.ndarray, codes: np.ndarray, chunk: int = CHUNK_ROWS):
-        self.ids, self.columns, self.chunk = ids, np.ascontiguousarray(codes.T), chunk
-        edges = np.arange(0, len(ids) + chunk, chunk)
-        self.lists: tuple[list, list] = ([], [])
-        self.most = np.zeros((2, len(self.columns)), self.columns.dtype)
-        for d, column in enumerate(self.columns):
-            for sign, gains in ((0, column), (1, -column)):
-                rows = np.flatnonzero(gains > 0)
-                self.lists[sign].append((rows, gains[rows], np.searchsorted(rows, edges)))
-                self.most[sign, d] = gains[rows].max() if len(rows) else 0
+        self.ids, self.codes, self.chunk = ids, codes, chunk
+        self.low = np.minimum(codes.min(axis=0, initial=0), 0)
+        self.high = np.maximum(codes.max(axis=0, initial=0), 0)
+        filled = codes != 0
+        self.lists = None
+        if filled.sum() < SPARSE * codes.size:
+            edges = np.arange(0, len(ids) + chunk, chunk)
+            rows = [np.flatnonzero(column) for column in filled.T]
+            self.lists = [(r, codes[r, d], np.searchsorted(r, edges)) for d, r in enumerate(rows)]
+
+    def traverse(self, query: np.ndarray, dims: np.ndarray, number: int) -> np.ndarray:
+        """What the rows of a chunk get from the lists ``dims``."""
+        low = number * self.chunk
+        codes = self.codes[low : low + self.chunk]
+        if self.lists is None:
+            some = np.zeros_like(query)
+            some[dims] = query[dims]
+            return codes @ some
+        part = np.zeros(len(codes), codes.dtype)
+        for d in dims.tolist():
+            rows, values, at = self.lists[d]
+            a, b = at[number], at[number + 1]
+            part[rows[a:b] - low] += query[d] * values[a:b]
+        return part
 
     def best(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Scores and ids of the ``k`` best rows (fewer if there are fewer) without rows of id ``own``."""
         used = np.flatnonzero(query != 0)
-        sign, size = (query[used] < 0).astype(int), np.abs(query[used])
-        bound = size * self.most[sign, used]
+        bound = np.maximum(query[used] * self.low[used], query[used] * self.high[used])
         order = np.argsort(bound, kind="stable")
-        used, sign, size, bound = used[order], sign[order], size[order], bound[order]
+        used, bound = used[order], bound[order]
         until = np.cumsum(bound)  # what a row can gain from the first lists at most
-        scores, ids = np.zeros(0, self.columns.dtype), np.zeros(0, np.int64)
-        for number, low in enumerate(range(0, len(self.ids), self.chunk)):
-            high = min(low + self.chunk, len(self.ids))
+        scores, ids = np.zeros(0, self.codes.dtype), np.zeros(0, np.int64)
+        for number in range(-(-len(self.ids) // self.chunk)):
             least = scores[-1] if len(scores) == k else None
-            # Rows in the first ``cut`` lists alone stay below the k-th best score.
-            cut = int(np.searchsorted(until, least, side="left")) if least is not None and least > 0 else 0
-            part = np.zeros(high - low, self.columns.dtype)
-            for d, s, w in zip(used[cut:], sign[cut:], size[cut:]):
-                rows, gains, at = self.lists[s][d]
-                a, b = at[number], at[number + 1]
-                part[rows[a:b] - low] += w * gains[a:b]
-            rows = np.flatnonzero(part) if least is not None and least > 0 else np.arange(high - low)
-            rows = rows[self.ids[rows + low] != own]
-            found = self.probe(query, used, bound, cut, rows + low, part[rows], least)
-            scores, ids = np.concatenate([scores, found[0]]), np.concatenate([ids, found[1]])
+            cut = 0
+            if least is not None and least > 0:
+                cut = int(np.searchsorted(until, least * SHARE, side="right"))
+            part = self.traverse(query, used[cut:], number)
+            rest = until[cut - 1] if cut else 0
+            rows = np.flatnonzero(part + rest >= least) if least is not None else np.arange(len(part))
+            part, rows = part[rows], rows + number * self.chunk
+            other = self.ids[rows] != own
+            found, names = self.probe(query, used[:cut], bound[:cut], rows[other], part[other], least)
+            if not len(found):
+                continue
+            scores, ids = np.concatenate([scores, found]), np.concatenate([ids, names])
             order = np.lexsort((ids, -scores))[:k]
             scores, ids = scores[order], ids[order]
         return scores, ids
 
-    def probe(self, query, used, bound, cut, rows, part, least) -> tuple[np.ndarray, np.ndarray]:
-        """Whole scores of the rows that reach ``least``: losses first, then the other lists."""
-        rest = bound[:cut].sum()
-        steps = [(used[cut:][::-1], True), (used[:cut][::-1], False)]
-        for dims, traversed in steps:
-            for i in range(0, len(dims), PROBES):
-                if least is not None:
-                    alive = part + rest >= least
-                    if not alive.all():
-                        rows, part = rows[alive], part[alive]
-                if not len(rows):
-                    return part, self.ids[rows]
-                some = dims[i : i + PROBES]
-                gained = query[some][:, None] * self.columns[some[:, None], rows]
-                if traversed:
-                    part = part + np.minimum(gained, 0).sum(axis=0)
-                else:
-                    part = part + gained.sum(axis=0)
-                    rest = rest - bound[:cut][::-1][i : i + PROBES].sum()
-        if least is not None:
-            alive = part >= least
+    def probe(self, query, dims, bound, rows, part, least) -> tuple[np.ndarray, np.ndarray]:
+        """Whole scores of the rows that reach ``least``, from the lists left, largest bounds first."""
+        rest = bound.sum()
+        for end in range(len(dims), 0, -PROBES):
+            if not len(rows):
+                break
+            some = slice(max(0, end - PROBES), end)
+            part = part + self.codes[rows[:, None], dims[some]] @ query[dims[some]]
+            rest = rest - bound[some].sum()
+            alive = part + rest >= least
             rows, part = rows[alive], part[alive]
         return part, self.ids[rows]
 
