@@ -11,10 +11,12 @@ from modsieve.functions.text import word_count
 from modsieve.keys import number_rows, seeded
 from modsieve.operators.clean import dedupe
 from modsieve.operators.folds import (
+    dealt_kfold,
     extend_train,
     fold_filter,
     fraction_split,
     kfold,
+    label_balance,
     length_dealt_folds,
     make_folds,
     multilabel_stratified_kfold,
@@ -66,10 +68,55 @@ def _(spark, sf):
     with_tables("reviews", f"f AS ({folds_sql('rule, rule_violation', 10)})", "SELECT row_id, rule, rule_violation, fold FROM f"),
 )
 def _(spark, sf):
-    folded = multilabel_stratified_kfold(reviews(spark, sf), ["rule", "rule_violation"], 10, SEED)
+    folded = dealt_kfold(reviews(spark, sf), ["rule", "rule_violation"], 10, SEED)
     return folded.select("row_id", "rule", "rule_violation", "fold")
 
 
+TRAITS = 10
+
+
+def ten_labels(documents):
+    """Ten yes/no labels of every document, bits of a hash of its id."""
+    number = F.conv(F.substring(F.md5(F.concat(F.lit("trait:"), F.col("doc_id").cast("string"))), 1, 8), 16, 10).cast("long")
+    return documents.select(
+        "doc_id", *[F.shiftright(number, i).bitwiseAND(1).cast("int").alias(f"y{i}") for i in range(TRAITS)]
+    )
+
+
+@query(
+    "multilabel_balance",
+    f"""WITH t AS (SELECT doc_id, ('0x' || substr(md5('trait:' || doc_id), 1, 8))::BIGINT AS number FROM documents),
+    v AS (SELECT 'y' || i AS label, CAST((number >> i) & 1 AS VARCHAR) AS value FROM t, range({TRAITS}) r(i)
+          UNION ALL SELECT '*', '' FROM t),
+    s AS (SELECT label, value, count(*) AS n_rows FROM v GROUP BY label, value)
+    SELECT label, value, n_rows, unnest(range(10)) AS place, n_rows // 10 + CASE WHEN unnest(range(10)) >= 10 - n_rows % 10 THEN 1 ELSE 0 END AS n FROM s""",
+)
+def _(spark, sf):
+    """Each label value's counts in ten folds, smallest first: whole shares, rounded down or up."""
+    labels = [f"y{i}" for i in range(TRAITS)]
+    folded = multilabel_stratified_kfold(ten_labels(table(spark, sf, "documents")), labels, 10, SEED, ["doc_id"])
+    counts = label_balance(folded, labels, 10)
+    placed = counts.select("label", "value", "n_rows", F.posexplode(F.array_sort("counts")).alias("place", "n"))
+    return placed.withColumn("place", F.col("place").cast("long"))
+
+
+@query(
+    "multilabel_cells",
+    with_tables(
+        "reviews",
+        "c AS (SELECT rule, subreddit, rule_violation, count(*) AS n_rows FROM reviews GROUP BY ALL)",
+        """SELECT rule, subreddit, rule_violation, n_rows, n_rows // 5 AS least, (n_rows + 4) // 5 AS most FROM c""",
+    ),
+)
+def _(spark, sf):
+    """Every combination of three labels lies in each of five folds with its share, rounded down or up."""
+    labels = ["rule", "subreddit", "rule_violation"]
+    folded = multilabel_stratified_kfold(reviews(spark, sf), labels, 5, SEED)
+    counts = folded.groupBy(*labels).pivot("fold", list(range(5))).count().fillna(0, [str(f) for f in range(5)])
+    folds = [F.col(str(f)) for f in range(5)]
+    return counts.select(*labels, sum(folds[1:], folds[0]).alias("n_rows"), F.least(*folds).alias("least"), F.greatest(*folds).alias("most"))
+
+
 @query(
     "choose_fold_type",
     with_tables(
@@ -84,14 +131,14 @@ def _(spark, sf):
     base = reviews(spark, sf)
     made = None
     for name, labels in (("one", ["subreddit"]), ("two", ["rule", "subreddit"]), ("none", None)):
-        part = make_folds(base, 5, SEED, labels).select(F.lit(name).alias("labels"), "row_id", "fold")
+        part = make_folds(base, 5, SEED, labels, search=False).select(F.lit(name).alias("labels"), "row_id", "fold")
         made = part if made is None else made.unionByName(part)
     return made
 
 
 def _split(spark, sf, train, valid):
     n = split_granularity([train, valid])
-    folded = multilabel_stratified_kfold(reviews(spark, sf), ["rule", "rule_violation"], n, SEED)
+    folded = dealt_kfold(reviews(spark, sf), ["rule", "rule_violation"], n, SEED)
     return fraction_split(folded, train, valid, n)
 
 
@@ -221,7 +268,7 @@ def violation_rate_by_fold(spark, sf):
     """After cleaning, how is each rule's violation rate spread over ten stratified folds?"""
     valid = validate(reviews_dirty(spark, sf).select(COLS), REVIEW_TABLE, ["row_id"]).valid
     clean = dedupe(valid, ["rule", "body"], ["row_id"])
-    folded = multilabel_stratified_kfold(clean, ["rule", "rule_violation"], 10, SEED)
+    folded = dealt_kfold(clean, ["rule", "rule_violation"], 10, SEED)
     return folded.groupBy("rule", "fold").agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("rule_violation"), 6).alias("violation_rate")
     )

@@ -79,6 +79,7 @@ def number_rows(
     before: str | None = None,
     weight: Column | None = None,
     totals: dict[str, tuple[Sequence[str], Column]] | None = None,
+    lookup: tuple[DataFrame, str] | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row within its stratum, ordered by a hash.
 
@@ -86,7 +87,8 @@ def number_rows(
     count and ``before`` the rows of all strata that sort earlier. With ``weight``
     the position is the weight of all earlier rows. ``totals`` adds
     further sums over the bucket counts, as ``name: (partition columns, value)``
-    where ``value`` may use the strata and the count column ``__n``. They ride on
+    where ``value`` may use the strata and the count column ``__n``. ``lookup`` is a table
+    with one row per stratum and the name of the column to add from it. They ride on
     the same balanced join, so no join on a (possibly hot) stratum is needed.
 
     One exchange moves the rows, on (stratum, bucket). The counts need a second,
@@ -119,6 +121,10 @@ def number_rows(
         sums = running_total(sums, ["__s"], "__t", before).select("__s", before)
         offsets = offsets.join(sums, "__s")
         extra.append(before)
+    if lookup:
+        known, name = lookup
+        offsets = offsets.join(known.select(F.struct(*strata).alias("__s"), name), "__s", "left")
+        extra.append(name)
     offsets = offsets.select(*by, "__b", "__off", *extra)
 
     inside = Window.partitionBy(*by, "__b").orderBy("__h", *tie)

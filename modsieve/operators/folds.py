@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modsieve.keys import number_rows, seeded, uniform
+from modsieve.operators.balance import remainder_folds
 
 KEY = ("row_id",)
 
@@ -19,13 +20,14 @@ def kfold(df: DataFrame, n: int, seed: int, key: Sequence[str] = KEY) -> DataFra
     return numbered.withColumn("fold", (F.col("__pos") % n).cast("int")).drop("__pos")
 
 
-def multilabel_stratified_kfold(
+def dealt_kfold(
     df: DataFrame, labels: Sequence[str], n: int, seed: int, key: Sequence[str] = KEY
 ) -> DataFrame:
-    """Folds balanced on every combination of labels, hence on each label.
+    """Folds balanced on every combination of labels, by dealing the sorted rows in turn.
 
-    Dealing continues from one combination to the next, so fold sizes also differ
-    by at most one overall.
+    Dealing continues from one combination to the next, so fold sizes differ by at most one
+    overall, and so do the counts of the first label's values. Counts of a later label's value may differ by as
+    much as there are combinations of the labels before it.
     """
     numbered = number_rows(
         df, labels, seeded(seed, "fold", *key), key, out="__pos", before="__before"
@@ -34,8 +36,46 @@ def multilabel_stratified_kfold(
     return numbered.withColumn("fold", fold.cast("int")).drop("__pos", "__before")
 
 
+def multilabel_stratified_kfold(
+    df: DataFrame, labels: Sequence[str], n: int, seed: int, key: Sequence[str] = KEY
+) -> DataFrame:
+    """Folds balanced on every combination of labels and on each label for itself.
+
+    Every combination's counts differ by at most one between folds: that holds by construction.
+    The folds of the rows left over are chosen on the table of combinations so that the same
+    holds for each value of each label and for all rows (see ``balance``). It is a search: where
+    it finds no such choice the differences are the smallest found, and ``label_balance``
+    shows them. Null is a value like any other. One label needs no search.
+    """
+    if len(labels) < 2:
+        return dealt_kfold(df, labels, n, seed, key)
+    cells = df.groupBy(*labels).agg(F.count(F.lit(1)).alias("size"))
+    chosen = remainder_folds(cells, labels, n, seed)
+    numbered = number_rows(
+        df, labels, seeded(seed, "fold", *key), key, out="__pos", size="__size", lookup=(chosen, "chosen")
+    )
+    even = F.col("__size") - F.col("__size") % n
+    late = F.get("chosen", (F.col("__pos") - even).cast("int"))
+    fold = F.when(F.col("__pos") < even, F.col("__pos") % n).otherwise(late)
+    return numbered.withColumn("fold", fold.cast("int")).drop("__pos", "__size", "chosen")
+
+
+def label_balance(folded: DataFrame, labels: Sequence[str], n: int) -> DataFrame:
+    """(label, value, n_rows, counts): how often each value of each label is in each fold.
+
+    All rows are one value of the label ``*``. Equal rows are combined before they move.
+    """
+    each = [F.struct(F.lit(c).alias("label"), F.col(c).cast("string").alias("value")) for c in labels]
+    each.append(F.struct(F.lit("*").alias("label"), F.lit("").alias("value")))
+    cells = folded.groupBy(*labels, "fold").agg(F.count(F.lit(1)).alias("__n"))
+    pairs = cells.select("fold", "__n", F.inline(F.array(*each)))
+    counts = [F.sum(F.when(F.col("fold") == f, F.col("__n")).otherwise(0)).alias(f"__{f}") for f in range(n)]
+    summed = pairs.groupBy("label", "value").agg(F.sum("__n").alias("n_rows"), *counts)
+    return summed.select("label", "value", "n_rows", F.array(*[f"__{f}" for f in range(n)]).alias("counts"))
+
+
 def stratified_kfold(df: DataFrame, label: str, n: int, seed: int, key: Sequence[str] = KEY) -> DataFrame:
-    return multilabel_stratified_kfold(df, [label], n, seed, key)
+    return dealt_kfold(df, [label], n, seed, key)
 
 
 # Fold types, from plain to multi-label.
@@ -59,13 +99,17 @@ def make_folds(
     labels: Sequence[str] | str | None = None,
     kind: str = "kfold",
     key: Sequence[str] = KEY,
+    search: bool = True,
 ) -> DataFrame:
-    """Folds of the type that suits the labels; no labels to use means plain folds."""
+    """Folds of the type that suits the labels; no labels to use means plain folds.
+
+    Without ``search`` several labels are dealt in turn, see ``dealt_kfold``.
+    """
     chosen = choose_fold_type(labels, kind)
     names = [labels] if isinstance(labels, str) else list(labels or [])
     if chosen == "kfold" or not names or any(c not in df.columns for c in names):
         return kfold(df, n, seed, key)
-    return multilabel_stratified_kfold(df, names, n, seed, key)
+    return (multilabel_stratified_kfold if search else dealt_kfold)(df, names, n, seed, key)
 
 
 def split_granularity(fractions: Sequence[float]) -> int:

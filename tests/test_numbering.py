@@ -56,11 +56,11 @@ def test_every_row_in_one_fold_and_balanced(rows):
         assert max(sizes) - min(sizes) <= 1
 
 
-def test_ten_row_example(spark):
-    y0, y1 = [2, 1, 0, 0, 0, 1, 1, 1, 2, 2], [1, 0, 0, 0, 0, 0, 0, 0, 0, 0]
-    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(y0, y1))], "row_id long, y0 int, y1 int")
-    folded = folds.multilabel_stratified_kfold(df, ["y0", "y1"], 3, 1234).collect()
-    assert sorted(Counter(r.fold for r in folded).values()) == [3, 3, 4]
+def test_few_rows_of_two_labels(spark):
+    """A rare second label among rows that the first label splits evenly."""
+    df = spark.range(12).select(F.col("id").alias("row_id"), (F.col("id") % 4).alias("shade"), (F.col("id") == 5).alias("rare"))
+    folded = folds.multilabel_stratified_kfold(df, ["shade", "rare"], 5, 99).collect()
+    assert sorted(Counter(r.fold for r in folded).values()) == [2, 2, 2, 3, 3]
 
 
 def test_fold_type_follows_labels():
