@@ -12,7 +12,7 @@ from modsieve.catalog.registry import query
 from modsieve.catalog.validation import COLS, EVENT_TABLE, ROW
 from modsieve.operators.folds import sample_fraction, stratified_kfold
 from modsieve.operators.validate import dtype_mismatch, duplicate_report
-from modsieve.session import work_path
+from modsieve.session import cut_lineage, work_path
 from modsieve.sources.tables import (
     conform_union,
     file_role,
@@ -47,6 +47,36 @@ def _(spark, sf):
     return tables["documents"].withColumn("dataset", F.lit("documents"))
 
 
+@query(
+    "read_csv_ranges",
+    """SELECT doc_id, 'said ""' || source || '"", then' || chr(13) || chr(10) || coalesce(text, '') || chr(10) || lang AS text, n_chars FROM documents""".replace('""', '"'),
+)
+def _(spark, sf):
+    """One large file full of quoted line breaks, read by many tasks."""
+    said = F.concat(F.lit('said "'), "source", F.lit('", then\r\n'), F.coalesce("text", F.lit("")), F.lit("\n"), "lang")
+    rows = table(spark, sf, "documents").select("doc_id", said.alias("text"), "n_chars")
+    path = write_stage(rows, fresh(spark, "csv-ranges"), "raw", "documents", "csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")  # the tables of the tests are small
+    try:
+        return cut_lineage(read_sources(spark, {"documents": path}, {"documents": DOCUMENTS})["documents"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@query(
+    "track_predictions_again",
+    with_tables("scores", "", "SELECT row_id AS id, body, score AS violation, 'a' AS run FROM scores UNION ALL SELECT row_id, body, score / 2, 'b' FROM scores"),
+)
+def _(spark, sf):
+    """Two runs, the first of them tried twice: one copy of each."""
+    path, day = fresh(spark, "track-again"), F.lit("2024-01-01 00:00:00").cast("timestamp")
+    rows = scores(spark, sf)
+    for run, factor in (("a", 1), ("b", 2), ("a", 1)):
+        track_predictions(rows.withColumn("score", F.col("score") / factor), path, day, "score", run=run)
+    return spark.read.parquet(path).select("id", "body", "violation", "run")
+
+
 @query("read_csv_shuffled_columns", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def _(spark, sf):
     """The file's columns stand in another order than declared, with one more among them."""

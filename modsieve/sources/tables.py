@@ -8,19 +8,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modsieve.sources.csv_ranges import read_ranges
 from modsieve.spec import COLUMNS, TableSpec
 
 
-def read_csv(spark: SparkSession, path: str, spec: TableSpec | None = None, multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, spec: TableSpec | None = None, multi_line: bool = True, ranges: bool = True, file: str | None = None
+) -> DataFrame:
     """A CSV table by the names in its header, whatever their order.
 
     Declared columns that the file lacks stay absent, so the layout check reports them. A
     column gets its declared type if every value fits; otherwise it stays text, and the type
     check counts the values that do not fit. One pass over the file decides that for all
-    columns. ``multi_line`` allows line breaks inside quotes but makes each file one task.
+    columns. ``multi_line`` allows line breaks inside quotes; with ``ranges`` many tasks read one
+    file all the same (see ``csv_ranges``, which wants well-formed quotes), without it each file is one
+    task. ``file`` adds the file's name under that name.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     raw = reader.csv(path)
+    named = [file] if file else []
+    if multi_line and ranges:
+        raw = read_ranges(spark, path, raw.columns, file)
+    elif file:
+        raw = raw.select("*", F.col("_metadata.file_name").alias(file))
     if spec is None:
         return raw
     types = {f.name: f.dataType for f in spec.schema.fields}
@@ -31,7 +41,7 @@ def read_csv(spark: SparkSession, path: str, spec: TableSpec | None = None, mult
         bad = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull()).alias(c) for c in typed]
         found = raw.agg(*bad).first()  # one row of counts
         fits = {c for c in typed if found[c] == 0}
-    kept = [c for c in raw.columns if c in declared]
+    kept = [c for c in raw.columns if c in declared or c in named]
     return raw.select(*[F.col(c).cast(types[c]).alias(c) if c in fits else F.col(c) for c in kept])
 
 
@@ -41,6 +51,7 @@ def read_sources(
     specs: Mapping[str, TableSpec] | None = None,
     with_file: bool = False,
     multi_line: bool = True,
+    ranges: bool = True,
 ) -> dict[str, DataFrame]:
     """One table per named file or directory, CSV or Parquet by the path's ending.
 
@@ -53,11 +64,10 @@ def read_sources(
         if ".parquet" in path:
             df = spark.read.parquet(path)
             declared = [c for c in spec.columns if c in df.columns] if spec else df.columns
+            extra = [F.col("_metadata.file_name").alias("file")] if with_file else []
+            tables[name] = df.select(*declared, *extra)
         else:
-            df = read_csv(spark, path, spec, multi_line)
-            declared = df.columns
-        extra = [F.col("_metadata.file_name").alias("file")] if with_file else []
-        tables[name] = df.select(*declared, *extra)
+            tables[name] = read_csv(spark, path, spec, multi_line, ranges, "file" if with_file else None)
     return tables
 
 
@@ -102,9 +112,18 @@ def tracking_rows(df: DataFrame, ts: Column, score: str, body: str = COLUMNS.bod
     )
 
 
-def track_predictions(df: DataFrame, path: str, ts: Column, score: str = COLUMNS.label, **names) -> str:
-    """Append predictions to the tracking table, stored by day."""
-    tracking_rows(df, ts, score, **names).write.mode("append").partitionBy("day").parquet(path)
+def track_predictions(df: DataFrame, path: str, ts: Column, score: str = COLUMNS.label, run: str | None = None, **names) -> str:
+    """Add predictions to the tracking table, stored by day, and by ``run`` if one is named.
+
+    A named run replaces what the same run stored for the same days, so a run that is tried
+    again leaves one copy; other runs stay. Without a name the rows are appended.
+    """
+    rows = tracking_rows(df, ts, score, **names)
+    if run is None:
+        rows.write.mode("append").partitionBy("day").parquet(path)
+    else:
+        rows = rows.withColumn("run", F.lit(run))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "run").parquet(path)
     return path
 
 
