@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from modsieve.catalog.fixtures import table
 from modsieve.catalog.registry import query
+from modsieve.catalog.storage import fresh
 from modsieve.operators.drift import (
+    compare_to_profile,
     detect_drift,
     domain_classifier,
     drift_sides,
@@ -14,8 +16,11 @@ from modsieve.operators.drift import (
     mean_vector_drift,
     project_2d,
     projection_histogram,
+    read_profile,
+    reference_profile,
     term_counts,
     tfidf,
+    write_profile,
 )
 
 TERMS = r"""tok AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM docs),
@@ -71,60 +76,93 @@ def _languages(spark, sf):
 def _features(spark, sf):
     ref, cur = _languages(spark, sf)
     rows, doc = drift_sides(ref, "text", ["doc_id"], cur, 2, 1234)
-    return feature_table(rows, "text", [doc], ["fold", "side", "held_out"])
+    return feature_table(rows, "text", [doc, "fold", "side", "held_out"])
 
 
-@query(
-    "project_2d",
-    """SELECT (CASE WHEN lang = 'en' THEN '0|' ELSE '1|' END) || doc_id AS doc, lang <> 'en' AS side, true AS placed, true AS centred FROM documents""",
-)
+@query("project_2d")
 def _(spark, sf):
-    """Every document has a place, and the train side's places are centred."""
+    """Every document's place along the two principal axes of the English ones."""
     placed = project_2d(_features(spark, sf), ~F.col("side"))
-    means = placed.filter(~F.col("side")).agg(F.greatest(F.abs(F.avg("x")), F.abs(F.avg("y"))).alias("off"))
-    fits = F.col("x").isNotNull() & F.col("y").isNotNull()
-    return placed.select("doc", "side", fits.alias("placed"), (means.select("off").scalar() < 1e-9).alias("centred"))
+    return placed.select("doc", "side", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@query("projection_histogram")
+def _(spark, sf):
+    """Densities of both sides along both axes."""
+    return projection_histogram(project_2d(_features(spark, sf), ~F.col("side")), F.col("side"))
 
 
 @query(
-    "projection_histogram",
-    "SELECT dimension, side, 1.0::DOUBLE AS mass, true AS few FROM (VALUES ('x'), ('y')) d(dimension), (SELECT DISTINCT lang <> 'en' AS side FROM documents)",
+    "projection_facts",
+    """SELECT dimension, lang <> 'en' AS side, count(*) AS n_docs, 1.0::DOUBLE AS mass, max(CASE WHEN lang = 'en' THEN 0.0::DOUBLE END) AS centre
+       FROM documents, (VALUES ('x'), ('y')) d(dimension) GROUP BY ALL""",
 )
 def _(spark, sf):
-    """Each side's densities over each dimension add up to one."""
-    projected = project_2d(_features(spark, sf), ~F.col("side"))
-    bars = projection_histogram(projected, F.col("side"))
-    mass = F.round(F.sum(F.col("density") * F.col("width")), 6).alias("mass")
-    return bars.groupBy("dimension", "side").agg(mass, (F.count(F.lit(1)) <= 50).alias("few"))
+    """Documents placed on each side, their whole density, and the centre of the English ones (zero)."""
+    placed = project_2d(_features(spark, sf), ~F.col("side"))
+    bars = projection_histogram(placed, F.col("side")).groupBy("dimension", "side").agg(F.round(F.sum(F.col("density") * F.col("width")), 6).alias("mass"))
+    points = placed.select("side", F.inline(F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("v")) for c in "xy"])))
+    centre = F.when(~F.col("side"), F.round(F.avg("v"), 9) + 0.0)
+    facts = points.groupBy("dimension", "side").agg(F.count("v").alias("n_docs"), centre.alias("centre"))
+    return facts.join(bars, ["dimension", "side"]).withColumn("centre", F.abs("centre"))
 
 
-LEARNED = "true AS accurate, true AS ranked"
+@query("domain_classifier")
+def _(spark, sf):
+    """Held-out accuracy and AUC of a forest that tells English from other documents."""
+    return domain_classifier(_features(spark, sf), "fold", "held_out", trees=20, binary=True)
 
 
-def _learned(df):
-    """Languages differ in their words, so the forest must tell them apart."""
-    return [(F.col("accuracy") > 0.6).alias("accurate"), (F.col("auc_score") > 0.8).alias("ranked")]
+@query("detect_drift_one_table")
+def _(spark, sf):
+    return detect_drift(table(spark, sf, "documents"), "text", ["doc_id"], n_splits=5, trees=20).summary
 
 
-@query("domain_classifier", f"SELECT {LEARNED}")
+def _two_tables(spark, sf):
+    ref, cur = _languages(spark, sf)
+    return detect_drift(ref, "text", ["doc_id"], cur, trees=20)
+
+
+@query("detect_drift_two_tables")
 def _(spark, sf):
-    found = domain_classifier(_features(spark, sf), "fold", "held_out", trees=20, binary=True)
-    return found.select(*_learned(found))
+    return _two_tables(spark, sf).summary
 
 
-@query("detect_drift_one_table", "SELECT true AS alike, true AS bounded")
+@query("detect_drift_histogram")
 def _(spark, sf):
-    """Folds of one corpus are alike: a cosine near one, and a forest that can only guess."""
-    found = detect_drift(table(spark, sf, "documents"), "text", ["doc_id"], n_splits=5, trees=20)
-    bounded = F.col("accuracy").between(0, 1) & F.col("auc_score").between(0.3, 0.7)
-    return found.select((F.col("cosine_mean_similarity") > 0.9).alias("alike"), bounded.alias("bounded"))
+    return _two_tables(spark, sf).histogram
 
 
 @query(
-    "detect_drift_two_tables",
-    ALL_DOCS + WEIGHTS + MEANS + f"SELECT distance AS euclidean_mean_distance, cosine AS cosine_mean_similarity, {LEARNED} FROM drift",
+    "detect_drift_means",
+    ALL_DOCS + WEIGHTS + MEANS + "SELECT distance AS euclidean_mean_distance, cosine AS cosine_mean_similarity, 'told apart' AS verdict FROM drift",
+)
+def _(spark, sf):
+    """The mean vectors of the two tables, and what the forest makes of them: languages differ in their words."""
+    apart = (F.col("accuracy") > 0.6) & (F.col("auc_score") > 0.8)
+    verdict = F.when(apart, "told apart").otherwise("alike").alias("verdict")
+    return _two_tables(spark, sf).summary.select("euclidean_mean_distance", "cosine_mean_similarity", verdict)
+
+
+@query(
+    "drift_profile",
+    "WITH docs AS (SELECT * FROM documents WHERE lang = 'en'), "
+    + TERMS
+    + """,
+voc AS (SELECT term, count(*) AS df FROM tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 500),
+every AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM documents),
+each AS (SELECT doc_id, lang, unnest(t) AS term FROM every
+         UNION ALL SELECT doc_id, lang, unnest(list_transform(list_zip(t[1:-2], t[2:]), lambda z: z[1] || ' ' || z[2])) FROM every WHERE len(t) > 1),
+raw AS (SELECT doc_id, lang, term, count(*) * (ln((1 + (SELECT count(*) FROM docs))::DOUBLE / (1 + any_value(df))::DOUBLE) + 1) AS w
+        FROM each JOIN voc USING (term) GROUP BY doc_id, lang, term),
+weights AS (SELECT doc_id, lang, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM raw)"""
+    + MEANS
+    + """SELECT (SELECT count(*) FROM docs) AS reference_rows, (SELECT count(*) FROM documents WHERE lang <> 'en') AS rows,
+               distance AS euclidean_mean_distance, cosine AS cosine_mean_similarity FROM drift""",
 )
 def _(spark, sf):
+    """Other languages against the stored profile of the English documents, which are not read again."""
     ref, cur = _languages(spark, sf)
-    found = detect_drift(ref, "text", ["doc_id"], cur, trees=20)
-    return found.select("euclidean_mean_distance", "cosine_mean_similarity", *_learned(found))
+    path = write_profile(spark, reference_profile(ref, "text"), fresh(spark, "profile"))
+    summary, _ = compare_to_profile(read_profile(spark, path), cur, "text")
+    return summary.select("reference_rows", "rows", "euclidean_mean_distance", "cosine_mean_similarity")

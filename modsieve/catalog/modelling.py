@@ -70,58 +70,96 @@ def _(spark, sf):
 QUICK = TrainParams(buckets=1 << 14, max_iter=10)
 
 
-def _scored():
-    return F.col("prediction").between(0, 1).alias("scored")
+def _shown():
+    return F.round("prediction", 6).alias("prediction")
+
+
+def _unlikely(column: str = "prediction"):
+    """Scores that are no probabilities, or that say nothing about their rows."""
+    return F.count_if(~F.coalesce(F.col(column).between(0, 1), F.lit(False))).alias("n_wrong"), (F.countDistinct(column) > 1).alias("varied")
+
+
+@query("train_text_classifier")
+def _(spark, sf):
+    """Row counts, and how well the classifier ranks its own training rows."""
+    train = reviews(spark, sf)
+    scored = score(train_text_classifier(train, QUICK), train)
+    return roc_auc(scored, "prediction", "rule_violation")
 
 
 @query(
-    "train_text_classifier",
+    "train_text_classifier_ranks",
     with_tables(
         "reviews",
         "",
         """SELECT count(*) FILTER (WHERE rule_violation = 1) AS n_positive, count(*) FILTER (WHERE rule_violation = 0) AS n_negative,
-                  true AS learned FROM reviews""",
+                  'ranked' AS verdict FROM reviews""",
     ),
 )
 def _(spark, sf):
-    """Row counts, and whether the classifier ranks its own training rows."""
     train = reviews(spark, sf)
-    scored = score(train_text_classifier(train, QUICK), train)
-    found = roc_auc(scored, "prediction", "rule_violation")
-    return found.select("n_positive", "n_negative", (F.col("auc") > 0.9).alias("learned"))
+    found = roc_auc(score(train_text_classifier(train, QUICK), train), "prediction", "rule_violation")
+    return found.select("n_positive", "n_negative", F.when(F.col("auc") > 0.9, "ranked").otherwise("not ranked").alias("verdict"))
 
 
-@query("score", with_tables("reviews_test", "", "SELECT row_id, rule, true AS scored FROM reviews_test"))
+@query("score")
 def _(spark, sf):
     model = train_text_classifier(reviews(spark, sf), QUICK)
-    return score(model, reviews_test(spark, sf)).select("row_id", "rule", _scored())
+    return score(model, reviews_test(spark, sf)).select("row_id", "rule", _shown())
 
 
 @query(
-    "score_many",
-    with_tables("reviews_test", "", "SELECT row_id, model, true AS scored FROM reviews_test, (VALUES ('base'), ('augmented')) m(model)"),
+    "score_facts",
+    with_tables("reviews_test", "", "SELECT rule, count(*) AS n_rows, 0::BIGINT AS n_wrong, true AS varied FROM reviews_test GROUP BY rule"),
 )
 def _(spark, sf):
+    model = train_text_classifier(reviews(spark, sf), QUICK)
+    return score(model, reviews_test(spark, sf)).groupBy("rule").agg(F.count(F.lit(1)).alias("n_rows"), *_unlikely())
+
+
+def _two_models(spark, sf):
     train = reviews(spark, sf)
     augmented = TrainParams(buckets=1 << 14, max_iter=10, augments=(("sentence_shuffle", 0.5),), augment_frac=0.5)
     models = {"base": train_text_classifier(train, QUICK), "augmented": train_text_classifier(train, augmented)}
-    return score_many(models, reviews_test(spark, sf)).select("row_id", "model", _scored())
+    return score_many(models, reviews_test(spark, sf))
+
+
+@query("score_many")
+def _(spark, sf):
+    return _two_models(spark, sf).select("row_id", "model", _shown())
 
 
 @query(
-    "out_of_fold",
-    with_tables("reviews", f"f AS ({folds_sql('rule_violation', 5)})", "SELECT row_id, fold, rule_violation, true AS scored FROM f"),
+    "score_many_facts",
+    with_tables("reviews_test", "", "SELECT model, count(*) AS n_rows, 0::BIGINT AS n_wrong, true AS varied FROM reviews_test, (VALUES ('base'), ('augmented')) m(model) GROUP BY model"),
 )
 def _(spark, sf):
-    folded = stratified_kfold(reviews(spark, sf), "rule_violation", 5, SEED)
-    return out_of_fold(folded, 5, QUICK).select("row_id", "fold", "rule_violation", _scored())
+    return _two_models(spark, sf).groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"), *_unlikely())
+
+
+def _out_of_fold(spark, sf):
+    return out_of_fold(stratified_kfold(reviews(spark, sf), "rule_violation", 5, SEED), 5, QUICK)
+
+
+@query("out_of_fold")
+def _(spark, sf):
+    return _out_of_fold(spark, sf).select("row_id", "fold", "rule_violation", _shown())
 
 
 @query(
-    "stream_score_and_track",
-    "SELECT doc_id AS id, text AS body, true AS scored FROM documents",
+    "out_of_fold_facts",
+    with_tables(
+        "reviews",
+        f"f AS ({folds_sql('rule_violation', 5)})",
+        """SELECT fold, count(*) AS n_rows, count(*) FILTER (WHERE rule_violation = 1) AS n_positive, 0::BIGINT AS n_wrong, true AS varied FROM f GROUP BY fold""",
+    ),
 )
 def _(spark, sf):
+    found = _out_of_fold(spark, sf)
+    return found.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("rule_violation") == 1).alias("n_positive"), *_unlikely())
+
+
+def _tracked(spark, sf):
     model = train_text_classifier(reviews(spark, sf), QUICK)
     arriving = (
         spark.readStream.schema(table(spark, sf, "documents").schema)
@@ -131,7 +169,19 @@ def _(spark, sf):
     )
     path = fresh(spark, "stream-track")
     stream_score_and_track(arriving, model, path, fresh(spark, "stream-state")).awaitTermination()
-    return spark.read.parquet(path).select("id", "body", F.col("violation").between(0, 1).alias("scored"))
+    return spark.read.parquet(path)
+
+
+@query("stream_score_and_track")
+def _(spark, sf):
+    return _tracked(spark, sf).select("id", "body", F.round("violation", 6).alias("violation"))
+
+
+@query("stream_track_facts", "SELECT doc_id AS id, text AS body, 0::BIGINT AS n_wrong FROM documents")
+def _(spark, sf):
+    """What the stream has stored: every document once, each with a probability."""
+    wrong = F.count_if(~F.coalesce(F.col("violation").between(0, 1), F.lit(False))).alias("n_wrong")
+    return _tracked(spark, sf).groupBy("id", "body").agg(wrong)
 
 
 RATES = """w AS (SELECT *, time_bucket(INTERVAL '1 hour', "timestamp") AS window_start FROM track_stream)

@@ -2,65 +2,111 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
+from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from modsieve.functions.text import tokens, word_count
 from modsieve.operators.folds import length_dealt_folds, stratified_holdout
 from modsieve.operators.metrics import roc_auc
+from modsieve.operators.partials import SUMS, emit, lists, sparse_parts, summed
 from modsieve.session import cut_lineage
 
 DIMENSION = 500
+BINS = 50
 
 
-def terms(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True) -> DataFrame:
-    """One row per occurrence of a token, and of a pair of neighbouring tokens.
-
-    The text is tokenised once into a column; tokens and their successors then
-    leave the row together.
-    """
-    cut = df.select(*key, tokens(F.col(column)).alias("__t"))
+def term_arrays(df: DataFrame, column: str, carry: Sequence[str], bigrams: bool = True, out: str = "__terms") -> DataFrame:
+    """Every row's tokens, and pairs of neighbouring tokens, as one array; a null text has none."""
+    none = F.array().cast("array<string>")
+    cut = df.select(*carry, F.coalesce(tokens(F.col(column)), none).alias(out))
     if not bigrams:
-        return cut.select(*key, F.explode("__t").alias("term"))
-    following = F.slice("__t", F.lit(2), F.greatest(F.size("__t") - 1, F.lit(0)))
-    pairs = cut.select(*key, F.inline(F.arrays_zip(F.col("__t").alias("first"), following.alias("second"))))
-    both = F.array("first", F.concat("first", F.lit(" "), "second"))
-    return pairs.select(*key, F.explode(both).alias("term")).filter(F.col("term").isNotNull())
+        return cut
+    size = F.size(out)
+    pairs = F.zip_with(
+        F.slice(out, F.lit(1), F.greatest(size - 1, F.lit(0))), F.slice(out, F.lit(2), F.greatest(size - 1, F.lit(0))),
+        lambda a, b: F.concat(a, F.lit(" "), b),
+    )
+    return cut.select(*carry, F.concat(out, F.when(size > 1, pairs).otherwise(none)).alias(out))
 
 
-def term_counts(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True) -> DataFrame:
-    """(key, term, tf). A document is one row, so its counts are complete before they move."""
-    return terms(df, column, key, bigrams).groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
+def terms(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True) -> DataFrame:
+    """One row per occurrence of a token, and of a pair of neighbouring tokens."""
+    # The outer form keeps the optimizer from copying the array into a filter.
+    rows = term_arrays(df, column, key, bigrams).select(*key, F.explode_outer("__terms").alias("term"))
+    return rows.filter(F.col("term").isNotNull())
 
 
-def vocabulary(occurrences: DataFrame, dimension: int = DIMENSION) -> DataFrame:
-    """The ``dimension`` most frequent terms: one aggregation by term, combined before it moves."""
-    totals = occurrences.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-    return totals.orderBy(F.desc("total"), "term").limit(dimension)
+def term_counts(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True) -> DataFrame:
+    """(key, term, tf), counted inside each row: equal terms of its sorted array are neighbours.
+
+    Nothing is shuffled; rows that share a key are counted each for itself.
+    """
+    cut = term_arrays(df, column, key, bigrams, "__t").select(*key, F.sort_array("__t").alias("__t"))
+    places = F.when(F.size("__t") > 0, F.sequence(F.lit(1), F.size("__t")))
+    starts = F.filter(places, lambda i: (i == 1) | (F.element_at("__t", i) != F.element_at("__t", F.greatest(i - 1, F.lit(1)))))
+    cut = cut.select(*key, "__t", starts.alias("__f"))
+    ends = F.concat(F.slice("__f", F.lit(2), F.size("__f")), F.array(F.size("__t") + 1))
+    runs = F.zip_with("__f", ends, lambda a, b: F.struct(F.element_at("__t", a).alias("term"), (b - a).cast("long").alias("tf")))
+    return cut.select(*key, runs.alias("__c")).select(*key, F.inline_outer("__c")).filter(F.col("term").isNotNull())
+
+
+@dataclass(frozen=True)
+class TermModel:
+    """The most frequent terms of a corpus with their inverse document frequencies."""
+
+    terms: list[str]
+    idf: list[float]
+
+    def features(self, df: DataFrame, column: str, carry: Sequence[str], bigrams: bool = True) -> DataFrame:
+        """(carry, features): sparse TF-IDF vectors of length one, or of zeros without terms; nothing moves."""
+        known = self.terms or [""]
+        stages = [
+            CountVectorizerModel.from_vocabulary(known, inputCol="__terms", outputCol="__tf"),
+            ElementwiseProduct(scalingVec=Vectors.dense(self.idf or [0.0]), inputCol="__tf", outputCol="__raw"),
+            Normalizer(p=2.0, inputCol="__raw", outputCol="features"),
+        ]
+        return PipelineModel(stages).transform(term_arrays(df, column, carry, bigrams)).select(*carry, "features")
+
+    def weights(self, features: DataFrame, key: Sequence[str]) -> DataFrame:
+        """(key, term, weight) of the vectors' entries."""
+        known = F.array(*[F.lit(t) for t in self.terms or [""]])
+        parts = features.select(*key, sparse_parts("features").alias("__s"))
+        rows = parts.select(*key, F.inline_outer(F.arrays_zip(F.col("__s.places").alias("place"), F.col("__s.counts").alias("weight"))))
+        return rows.filter(F.col("place").isNotNull()).select(*key, F.element_at(known, F.col("place") + 1).alias("term"), "weight")
+
+
+def term_model(df: DataFrame, column: str, dimension: int = DIMENSION, bigrams: bool = True) -> TermModel:
+    """The ``dimension`` most frequent terms: one aggregation by term, of terms counted in their rows.
+
+    The driver gets ``dimension`` short rows and the number of documents.
+    """
+    totals = term_counts(df, column, [], bigrams).groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    top = totals.orderBy(F.desc("total"), "term").limit(dimension)
+    n = df.agg(F.count(F.lit(1)).alias("n"))
+    raw = F.log((1 + n.scalar()).cast("double") / (1 + F.col("df")).cast("double")) + 1
+    found = top.select("term", raw.alias("idf")).orderBy("term").collect()
+    return TermModel([r["term"] for r in found], [r["idf"] for r in found])
 
 
 def tfidf(df: DataFrame, column: str, key: Sequence[str], dimension: int = DIMENSION, bigrams: bool = True) -> DataFrame:
     """(key, term, weight), every document's weights of length one.
 
-    Only terms of the vocabulary are counted per document. No text moves: a document's
-    occurrences are combined where it is read, into at most ``dimension`` rows.
+    Texts are read twice, for the vocabulary and for the weights; only terms' totals move.
     """
-    key = list(key)
-    # Both broadcasts hold at most ``dimension`` rows, whatever the corpus.
-    vocab = F.broadcast(vocabulary(terms(df, column, key, bigrams), dimension).select("term"))
-    counts = terms(df, column, key, bigrams).join(vocab, "term").groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    spread = F.broadcast(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    n = df.agg(F.count(F.lit(1))).scalar()
-    raw = F.col("tf") * (F.log((1 + n) / (1 + F.col("df"))) + 1)
-    weighted = counts.join(spread, "term").withColumn("raw", raw)
-    # A document has at most ``dimension`` rows here.
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*key)))
-    return weighted.select(*key, "term", (F.col("raw") / norm).alias("weight"))
+    model = term_model(df, column, dimension, bigrams)
+    return model.weights(model.features(df, column, list(key), bigrams), list(key))
 
 
 def mean_vector_drift(weights: DataFrame, side: Column) -> DataFrame:
@@ -79,39 +125,109 @@ def mean_vector_drift(weights: DataFrame, side: Column) -> DataFrame:
     )
 
 
-def feature_table(
-    df: DataFrame,
-    column: str,
-    key: Sequence[str],
-    carry: Sequence[str],
-    dimension: int = DIMENSION,
-    weights: DataFrame | None = None,
-) -> DataFrame:
-    """(key, carry, features): one dense vector per document, zero where it has no term."""
-    key = list(key)
-    weights = tfidf(df, column, key, dimension) if weights is None else weights
-    places = weights.select("term").distinct().select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("__i"))
-    entries = F.map_from_entries(F.collect_list(F.struct("__i", "weight")))  # at most ``dimension``
-    sparse = weights.join(F.broadcast(places), "term").groupBy(*key).agg(entries.alias("__w"))
-    rows = cut_lineage(df.select(*key, *carry).join(sparse, key, "left"))
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(dimension - 1)), lambda i: F.coalesce(F.try_element_at("__w", i), F.lit(0.0))
-    )
-    return rows.select(*key, *carry, array_to_vector(dense).alias("features"))
+def feature_table(df: DataFrame, column: str, carry: Sequence[str], dimension: int = DIMENSION, model: TermModel | None = None) -> DataFrame:
+    """(carry, features): one sparse vector per document, of zeros where it has no term; stored."""
+    model = model or term_model(df, column, dimension)
+    return cut_lineage(model.features(df, column, carry))
+
+
+@dataclass(frozen=True)
+class Projection:
+    """A centre and two axes in the space of the features."""
+
+    centre: list[float]
+    axes: list[list[float]]
+
+    def place(self, features: DataFrame) -> DataFrame:
+        """Adds ``x`` and ``y``; the features go."""
+        axes, centre = np.array(self.axes), np.array(self.centre)
+        shift = centre @ axes
+
+        @F.arrow_udf("struct<x:double,y:double>")
+        def placed(vectors: pa.Array) -> pa.Array:
+            places, offsets = lists(vectors.field("indices"))
+            values, _ = lists(vectors.field("values"))
+            owner = np.repeat(np.arange(len(vectors)), np.diff(offsets))
+            at = [np.bincount(owner, values * axes[places, i], len(vectors)) - shift[i] for i in range(2)]
+            return pa.StructArray.from_arrays([pa.array(c) for c in at], names=["x", "y"])
+
+        rest = [c for c in features.columns if c != "features"]
+        return features.select(*rest, placed("features").alias("__p")).select(*rest, "__p.x", "__p.y")
+
+
+def principal_axes(features: DataFrame, tolerance: float = 1e-10, passes: int = 50, block: int = 10, seed: int = 0) -> Projection:
+    """The two directions of largest variance, by randomised block Krylov iteration on sparse vectors.
+
+    Each pass multiplies a block of directions by the covariance: tasks add up ``x (x . v)`` over
+    their rows. The driver holds directions only: it adds what is new in the products as
+    the next block and takes the best two directions in the span of all blocks. It ends when they
+    are eigenvectors up to ``tolerance``, or after ``passes``. The largest entry of each axis is positive;
+    directions without variance are zero. Without rows there are no axes.
+    """
+    stored = features.select(sparse_parts("features").alias("__s")).select(F.col("__s.places").alias("places"), F.col("__s.counts").alias("counts"))
+    head = features.select("features").first()
+    if head is None:
+        return Projection([], [])
+    width = head["features"].size
+    context = features.sparkSession.sparkContext
+
+    def covariance(directions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The covariance times the directions, and the mean vector: one pass."""
+        shared, rank = context.broadcast(directions), directions.shape[1]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = shared.value
+            table = np.zeros((rank + 2, width))  # the last row holds the number of vectors
+            for batch in batches:
+                places, offsets = lists(batch.column("places"))
+                values, _ = lists(batch.column("counts"))
+                owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+                for i in range(rank):
+                    along = np.bincount(owner, values * known[places, i], batch.num_rows)
+                    table[i] += np.bincount(places, values * along[owner], width)
+                table[rank] += np.bincount(places, values, width)
+                table[rank + 1, 0] += batch.num_rows
+            yield from emit(table)
+
+        out = summed(stored.mapInArrow(run, SUMS), rank + 2, width)
+        shared.destroy()
+        mean = out[rank] / out[rank + 1, 0]
+        return out[:rank].T / out[rank + 1, 0] - np.outer(mean, mean @ directions), mean
+
+    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, min(width, block))))[0]
+    fresh, images = basis, np.zeros((width, 0))
+    for _ in range(passes):
+        image, mean = covariance(fresh)
+        images = np.hstack([images, image])
+        inner = basis.T @ images
+        values, turn = np.linalg.eigh((inner + inner.T) / 2)
+        best, spread = turn[:, ::-1][:, :2], values[::-1][:2]
+        lead, scale = basis @ best, max(spread[0], 1e-300)
+        if np.abs(images @ best - lead * spread).max(initial=0) <= tolerance * scale:
+            break
+        for _ in range(2):  # once more against rounding
+            image = image - basis @ (basis.T @ image)
+        fresh, size, _ = np.linalg.svd(image, full_matrices=False)
+        fresh = fresh[:, size > 1e-13 * scale][:, : width - basis.shape[1]]
+        if not fresh.shape[1]:
+            break
+        basis = np.hstack([basis, fresh])
+    axes = np.zeros((width, 2))
+    axes[:, : lead.shape[1]] = lead * (spread > 1e-12 * scale)
+    signs = np.sign(axes[np.abs(axes).argmax(axis=0), [0, 1]])
+    return Projection(mean.tolist(), (axes * np.where(signs == 0, 1, signs)).tolist())
 
 
 def project_2d(features: DataFrame, train: Column) -> DataFrame:
     """Two principal components fitted on the train rows; adds ``x`` and ``y``, centred on train."""
-    model = PCA(k=2, inputCol="features", outputCol="__p").fit(features.filter(train))
-    placed = model.transform(features).withColumn("__a", vector_to_array("__p"))
-    centre = placed.filter(train).agg(F.avg(F.col("__a")[0]).alias("cx"), F.avg(F.col("__a")[1]).alias("cy"))
-    cx, cy = centre.select("cx").scalar(), centre.select("cy").scalar()
-    return (
-        placed.withColumn("x", F.col("__a")[0] - cx).withColumn("y", F.col("__a")[1] - cy).drop("__p", "__a", "features")
-    )
+    found = principal_axes(features.filter(train))
+    if not found.axes:
+        none = F.lit(None).cast("double")
+        return features.drop("features").withColumns({"x": none, "y": none})
+    return found.place(features)
 
 
-def projection_histogram(projected: DataFrame, side: Column, bins: int = 50) -> DataFrame:
+def projection_histogram(projected: DataFrame, side: Column, bins: int = BINS) -> DataFrame:
     """(dimension, side, bin, low, width, density) of the projected rows, equal bins over both sides.
 
     If all values of a dimension are equal they lie in bin 0, with a null density.
@@ -183,6 +299,15 @@ def drift_sides(
     return stratified_holdout(both, ["fold"], 0.5, seed, ["doc"]).withColumn("side", F.col("fold") == 1), "doc"
 
 
+@dataclass(frozen=True)
+class DriftResult:
+    """One row of figures, every document's place, and the histograms of the places by side."""
+
+    summary: DataFrame
+    projected: DataFrame
+    histogram: DataFrame
+
+
 def detect_drift(
     ref: DataFrame,
     column: str,
@@ -193,15 +318,97 @@ def detect_drift(
     dimension: int = DIMENSION,
     trees: int = 100,
     seed: int = 1234,
-) -> DataFrame:
-    """One row: mean-vector distance and cosine, and how well a forest tells the folds apart."""
+) -> DriftResult:
+    """Mean-vector distance and cosine, how well a forest tells the folds apart, and the projections."""
     rows, doc = drift_sides(ref, column, key, cur, n_splits, seed)
-    kept = ["fold", "side", "held_out"]
-    # Read by the means, the vocabulary's places and the features: stored once, without the texts.
-    weights = cut_lineage(tfidf(rows, "text", [doc, *kept], dimension))
-    features = feature_table(rows, "text", [doc], kept, dimension, weights)
-    means = mean_vector_drift(weights, F.col("side"))
+    kept = [doc, "fold", "side", "held_out"]
+    model = term_model(rows, "text", dimension)
+    features = feature_table(rows, "text", kept, model=model)  # read by the means, the projection and the forest
+    means = mean_vector_drift(model.weights(features, kept), F.col("side"))
     forest = domain_classifier(features, "fold", "held_out", trees, seed, binary=cur is not None)
-    return means.withColumn("accuracy", forest.select("accuracy").scalar()).withColumn(
+    summary = means.withColumn("accuracy", forest.select("accuracy").scalar()).withColumn(
         "auc_score", forest.select("auc_score").scalar()
     )
+    projected = project_2d(features, ~F.col("side"))
+    return DriftResult(summary, projected, projection_histogram(projected, F.col("side")))
+
+
+@dataclass(frozen=True)
+class DriftProfile:
+    """What a reference table leaves behind for comparing later tables: its size is fixed by ``dimension`` and ``bins``."""
+
+    rows: int
+    model: TermModel
+    projection: Projection
+    low: list[float]
+    width: list[float]
+    shares: list[list[float]]  # of the reference's rows, by dimension and bin
+
+
+def _bins(placed: DataFrame, low: Sequence[float], width: Sequence[float], bins: int) -> list[list[float]]:
+    """Shares of the rows by dimension and bin; the first and the last bin are open."""
+    def bin_of(c: str, i: int) -> Column:
+        place = F.floor((F.col(c) - low[i]) / width[i]) if width[i] > 0 else F.lit(0)
+        return F.least(F.greatest(place, F.lit(0)), F.lit(bins - 1)).cast("int")
+
+    each = [F.struct(F.lit(i).alias("dimension"), bin_of(c, i).alias("bin")) for i, c in enumerate("xy")]
+    counted = placed.select(F.inline(F.array(*each))).groupBy("dimension", "bin").count().collect()
+    out = np.zeros((2, bins))
+    for row in counted:
+        out[row["dimension"], row["bin"]] = row["count"]
+    return (out / np.maximum(out.sum(axis=1, keepdims=True), 1)).tolist()
+
+
+def reference_profile(ref: DataFrame, column: str, dimension: int = DIMENSION, bins: int = BINS) -> DriftProfile:
+    """Vocabulary and document frequencies, mean vector, projection and histogram of a reference table."""
+    model = term_model(ref, column, dimension)
+    features = feature_table(ref, column, [], model=model)
+    found = principal_axes(features)
+    if not found.axes:
+        raise ValueError("a reference needs rows")
+    placed = found.place(features)
+    ends = placed.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for c in "xy" for f in (F.min, F.max)]).first()
+    low = [ends["min_x"], ends["min_y"]]
+    width = [(ends["max_x"] - low[0]) / bins, (ends["max_y"] - low[1]) / bins]
+    return DriftProfile(ends["n"], model, found, low, width, _bins(placed, low, width, bins))
+
+
+def write_profile(spark: SparkSession, profile: DriftProfile, path: str) -> str:
+    """Store a profile as one line of JSON."""
+    spark.createDataFrame([(json.dumps(asdict(profile)),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def read_profile(spark: SparkSession, path: str) -> DriftProfile:
+    found = json.loads(spark.read.text(path).first()["value"])
+    return DriftProfile(**{**found, "model": TermModel(**found["model"]), "projection": Projection(**found["projection"])})
+
+
+def compare_to_profile(profile: DriftProfile, cur: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """(summary, histogram) of a table against a profile; the reference is not read.
+
+    The summary has the distance and cosine of the mean vectors, null if one of them is zero, and
+    for each projected dimension the share of mass that both histograms have in common. One pass makes the
+    vectors, which are stored without the texts.
+    """
+    spark, bins = cur.sparkSession, len(profile.shares[0])
+    features = feature_table(cur, column, [], model=profile.model)
+    found = features.groupBy(F.lit(True).alias("all")).agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("features")).alias("mean")).first()
+    a = np.array(profile.projection.centre)
+    n, b = (found["n"], found["mean"].toArray()) if found else (0, np.zeros(len(a)))
+    lengths = float(np.linalg.norm(a) * np.linalg.norm(b))
+    cosine = float(a @ b) / lengths if lengths else None
+    distance = float(np.sqrt(max(2 - 2 * cosine, 0.0))) if lengths else None
+    shares = _bins(profile.projection.place(features), profile.low, profile.width, bins)
+    common = [float(np.minimum(p, q).sum()) for p, q in zip(profile.shares, shares)]
+    facts = (profile.rows, int(n), *[None if v is None else round(v, 4) for v in (distance, cosine, *common)])
+    summary = spark.createDataFrame(
+        [facts],
+        "reference_rows long, rows long, euclidean_mean_distance double, cosine_mean_similarity double, common_x double, common_y double",
+    )
+    bars = [
+        (c, k, profile.low[i] + k * profile.width[i], profile.width[i], profile.shares[i][k], shares[i][k])
+        for i, c in enumerate("xy") for k in range(bins)
+    ]
+    columns = "dimension string, bin int, low double, width double, reference_share double, share double"
+    return summary, spark.createDataFrame(bars, columns)
