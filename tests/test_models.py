@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from modsieve.operators import drift, metrics, model, triplet
 from modsieve.plans.prepare import NamedTable, SplitConfig, prepare_splits
-from modsieve.plans.run import RunConfig, run
+from modsieve.operators.drift import read_profile
+from modsieve.plans.run import DriftConfig, PseudoConfig, RunConfig, TripletConfig, run
 from modsieve.spec import TableSpec
 from modsieve.streaming.track import append_stream, stream_score_and_track, violation_rate
 
@@ -196,3 +197,32 @@ def test_whole_run(spark, reviews, tmp_path):
     assert result.predictions.count() == 50
     row = result.metrics.first()
     assert row.roc_auc > 0.9 and row.accuracy > 0.9
+
+
+def test_run_with_drift_pseudo_labels_triplets_and_an_ensemble(spark, reviews, tmp_path):
+    tables = [NamedTable("t", reviews.filter("row_id % 3 > 0"), SPEC), NamedTable("u", reviews.filter("row_id % 3 = 0").withColumn("rule_violation", F.lit(None).cast("int")), SPEC, "test")]
+    models = {"first": QUICK, "teacher": model.TrainParams(buckets=1 << 9, max_iter=20, reg=0.001)}
+    config = RunConfig(
+        str(tmp_path), models, SplitConfig(materialise=True), drift=DriftConfig(n_splits=3, dimension=20, trees=3),
+        pseudo=PseudoConfig("teacher", 0.3), triplets=TripletConfig(1, 2), weights={"teacher": 3.0, "first": 1.0},
+    )
+    result = run(spark, tables, config)
+    n_test = reviews.filter("row_id % 3 = 0").count()
+    by_model = {(r.row_id, r.model): r.prediction for r in result.predictions.collect()}
+    assert len(by_model) == 2 * n_test
+    mixed = {r.row_id: r.prediction for r in result.ensemble.collect()}
+    assert len(mixed) == n_test
+    for i, p in mixed.items():
+        assert p == pytest.approx((3 * by_model[i, "teacher"] + by_model[i, "first"]) / 4)
+    # The pseudo-labelled rows are those that the teacher is sure about.
+    pseudo = {r.row_id: r.rule_violation for r in spark.read.parquet(f"{tmp_path}/pseudo_train").collect()}
+    sure = {i: int(p > 0.7) for (i, m), p in by_model.items() if m == "teacher" and (p > 0.7 or p < 0.3)}
+    assert pseudo == sure and len(sure) > 20
+    assert {r.model for r in result.metrics.collect()} == {"first", "teacher"}
+    assert result.triplets.columns == ["anchor", "positive", "negative_0", "negative_1"] and result.triplets.count() > 50
+    # Text columns that are no categories: rule, body, subreddit of this layout.
+    summary = spark.read.parquet(f"{tmp_path}/drift/t/body/summary").first()
+    assert 0.5 < summary.cosine_mean_similarity <= 1
+    assert spark.read.parquet(f"{tmp_path}/drift/u/body/against_t/histogram").filter("density > 0").count() > 4
+    assert spark.read.parquet(f"{tmp_path}/drift/u/body/against_t/projected").count() == reviews.count()
+    assert read_profile(spark, f"{tmp_path}/drift/t/body/profile").rows == reviews.filter("row_id % 3 > 0").count()
