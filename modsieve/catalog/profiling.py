@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from modsieve.catalog.fixtures import reviews, table, with_tables
 from modsieve.catalog.registry import query
+from modsieve.catalog.storage import fresh
 from modsieve.catalog.validation import REVIEW_TABLE
+from modsieve.functions.text import words
 from modsieve.operators.profile import (
     class_distribution,
     length_density,
@@ -14,6 +18,8 @@ from modsieve.operators.profile import (
     statistics_report,
     target_distribution,
     top_terms,
+    vocabulary_estimate,
+    vocabulary_sketch,
     vocabulary_stats,
 )
 
@@ -131,6 +137,27 @@ def _(spark, sf):
     return vocabulary_stats(table(spark, sf, "documents"), "text")
 
 
+@query(
+    "vocabulary_sketches",
+    f"""WITH w AS (SELECT lang, unnest(regexp_extract_all(text, '{WORDS_RE}')) AS word FROM documents),
+        parts AS (SELECT lang AS part, count(*) AS total_vocabs, count(DISTINCT word) AS n_words FROM w GROUP BY lang
+                  UNION ALL SELECT 'all', count(*), count(DISTINCT word) FROM w)
+        SELECT part, total_vocabs, n_words, true AS close FROM parts""",
+)
+def _(spark, sf):
+    """Stored sketches by language, alone and merged, against the exact numbers of different words."""
+    documents, path = table(spark, sf, "documents"), fresh(spark, "sketches")
+    vocabulary_sketch(documents, "text", ["lang"], precision=14).write.parquet(path)
+    stored = spark.read.parquet(path)
+    estimates = vocabulary_estimate(stored, ["lang"]).withColumnRenamed("lang", "part")
+    estimates = estimates.unionByName(vocabulary_estimate(stored).withColumn("part", F.lit("all")))
+    each = documents.select("lang", F.explode(words(F.col("text"))).alias("word"))
+    exact = each.groupBy(F.col("lang").alias("part")).agg(F.countDistinct("word").alias("n_words"))
+    exact = exact.unionByName(each.agg(F.countDistinct("word").alias("n_words")).withColumn("part", F.lit("all")))
+    error = F.abs(F.col("total_unique_vocabs") - F.col("n_words")) / F.col("n_words")
+    return estimates.join(exact, "part").select("part", "total_vocabs", "n_words", (error < 0.03).alias("close"))
+
+
 def density_sql(unit: str) -> str:
     return f"""WITH {lengths_sql(unit)},
     s AS (SELECT count(*)::DOUBLE AS m, stddev_samp(length) * pow(count(*)::DOUBLE, -0.2::DOUBLE) AS bw,
@@ -153,16 +180,22 @@ def _(spark, sf):
     return length_density(table(spark, sf, "documents"), "text", "char")
 
 
-@query(
-    "top_terms",
-    rf"""WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS word FROM documents)
+TOP_TERMS = rf"""WITH w AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS word FROM documents)
         SELECT word, count(*) AS n FROM w WHERE word NOT IN ({', '.join(f"'{w}'" for w in sorted(set(STOP_WORDS)))})
-        GROUP BY word ORDER BY n DESC, word LIMIT 100""",
-)
+        GROUP BY word ORDER BY n DESC, word LIMIT 100"""
+
+
+@query("top_terms", TOP_TERMS)
 def _(spark, sf):
     return top_terms(table(spark, sf, "documents"), "text", STOP_WORDS, 100)
 
 
+@query("top_terms_sketch", TOP_TERMS)
+def _(spark, sf):
+    """The same from the candidates of a frequent-items sketch."""
+    return top_terms(table(spark, sf, "documents"), "text", STOP_WORDS, 100, sketch=True)
+
+
 def _long(source: str, prefix: str) -> str:
     return f"""SELECT 'body' AS "column", '{prefix}' || metric AS metric, CAST(NULL AS VARCHAR) AS "class", CAST(NULL AS VARCHAR) AS target,
                       "value"::DOUBLE AS "value" FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM {source}) ON COLUMNS(*) INTO NAME metric VALUE "value")"""

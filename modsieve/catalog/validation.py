@@ -25,6 +25,7 @@ from modsieve.operators.clean import (
     redundancy_gate,
     wash_text,
 )
+from modsieve.functions.repair import damage_decoding, repair_decoding
 from modsieve.operators.validate import (
     dtype_mismatch,
     duplicate_report,
@@ -229,6 +230,20 @@ def _(spark, sf):
     return wash_text(linked(spark, sf).select("row_id", "body"), ["body"], to_ascii=False)
 
 
+@query("repair_decoding", "SELECT doc_id, text, true AS damaged FROM documents WHERE octet_length(encode(text)) > length(text)")
+def _(spark, sf):
+    """Documents read twice in the wrong code page, and restored."""
+    rows = table(spark, sf, "documents").where(F.octet_length("text") > F.char_length("text"))
+    twice = rows.select("doc_id", "text", damage_decoding(damage_decoding(F.col("text"))).alias("wrong"))
+    return twice.select("doc_id", repair_decoding(F.col("wrong")).alias("text"), (F.col("wrong") != F.col("text")).alias("damaged"))
+
+
+@query("repair_clean", "SELECT doc_id, text FROM documents")
+def _(spark, sf):
+    """Sound documents stay as they are."""
+    return table(spark, sf, "documents").select("doc_id", repair_decoding(F.col("text")).alias("text"))
+
+
 def _ascii_sql(col: str) -> str:
     for letter, plain in (("‘", "'"), ("’", "'"), ("“", '"'), ("”", '"'), ("–", "-"), ("—", "-"), ("ß", "ss"), ("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("ø", "o")):
         quoted = plain.replace("'", "''")

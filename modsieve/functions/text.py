@@ -49,8 +49,8 @@ def urls(col: Column) -> Column:
     return F.regexp_extract_all(col, F.lit(URL_ANYWHERE), 0)
 
 
-def rewrite_matches(col: Column, pattern: str, rewrite) -> Column:
-    """Replace every match of ``pattern`` by ``rewrite(match)``.
+def rewrite_matches(col: Column, pattern: str, rewrite, hint=lambda c: c.contains("://")) -> Column:
+    """Replace every match of ``pattern`` by ``rewrite(match)`` in texts that pass the cheap test ``hint``.
 
     The text is cut at the matches, the matches are rewritten as an array, and the
     two arrays are joined again, all inside one row.
@@ -60,7 +60,7 @@ def rewrite_matches(col: Column, pattern: str, rewrite) -> Column:
     joined = F.array_join(
         F.zip_with(between, found, lambda piece, new: F.concat(piece, F.coalesce(new, F.lit("")))), ""
     )
-    return F.when(col.contains("://"), joined).otherwise(col)
+    return F.when(hint(col), joined).otherwise(col)
 
 
 def _short_url(url: Column) -> Column:

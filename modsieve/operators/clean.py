@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from modsieve.functions.repair import repair_decoding
 from modsieve.functions.text import SPACE
 from modsieve.keys import digests
 
@@ -97,11 +98,16 @@ def wash_text(
     dedupe_on: Sequence[str] | None = None,
     order_by: Sequence[str] = ("row_id",),
     to_ascii: bool = True,
+    repair: bool = True,
 ) -> DataFrame:
-    """Wash every text column (or ``columns``), then deduplicate if keys are given."""
+    """Wash every text column (or ``columns``), then deduplicate if keys are given.
+
+    Wrongly decoded text is repaired first, see ``repair_decoding``.
+    """
     names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     # All folds run in one Python step, the patterns after it in one native projection.
-    folded = df.withColumns({c: fold_to_ascii(F.col(c)) for c in names}) if to_ascii else df
+    sound = df.withColumns({c: repair_decoding(F.col(c)) for c in names}) if repair else df
+    folded = sound.withColumns({c: fold_to_ascii(F.col(c)) for c in names}) if to_ascii else sound
     out = folded.withColumns({c: wash_patterns(F.col(c)) for c in names})
     return dedupe(out, dedupe_on, order_by) if dedupe_on else out
 

@@ -21,6 +21,7 @@ from modsieve.functions.text import tokens, word_count
 from modsieve.operators.folds import length_dealt_folds, stratified_holdout
 from modsieve.operators.metrics import roc_auc
 from modsieve.operators.partials import SUMS, emit, lists, sparse_parts, summed
+from modsieve.operators.profile import heavy_terms
 from modsieve.session import cut_lineage
 
 DIMENSION = 500
@@ -87,13 +88,17 @@ class TermModel:
         return rows.filter(F.col("place").isNotNull()).select(*key, F.element_at(known, F.col("place") + 1).alias("term"), "weight")
 
 
-def term_model(df: DataFrame, column: str, dimension: int = DIMENSION, bigrams: bool = True) -> TermModel:
+def term_model(df: DataFrame, column: str, dimension: int = DIMENSION, bigrams: bool = True, sketch: bool = False) -> TermModel:
     """The ``dimension`` most frequent terms: one aggregation by term, of terms counted in their rows.
 
-    The driver gets ``dimension`` short rows and the number of documents.
+    The driver gets ``dimension`` short rows and the number of documents. With ``sketch`` only the candidates of a
+    frequent-items sketch are aggregated, if that is sure to give the same terms.
     """
-    totals = term_counts(df, column, [], bigrams).groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    top = totals.orderBy(F.desc("total"), "term").limit(dimension)
+    counted = term_counts(df, column, [], bigrams)
+    top = heavy_terms(terms(df, column, [], bigrams), dimension, "term", counted=counted) if sketch else None
+    if top is None:
+        totals = counted.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+        top = totals.orderBy(F.desc("n"), "term").limit(dimension)
     n = df.agg(F.count(F.lit(1)).alias("n"))
     raw = F.log((1 + n.scalar()).cast("double") / (1 + F.col("df")).cast("double")) + 1
     found = top.select("term", raw.alias("idf")).orderBy("term").collect()

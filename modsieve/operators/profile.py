@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modsieve.functions.text import WORD, word_count, words
+from modsieve.session import cut_lineage
 from modsieve.spec import COLUMNS, TableSpec
 
 GRID_POINTS = 200
@@ -139,6 +140,56 @@ def vocabulary_stats(df: DataFrame, column: str) -> DataFrame:
     return counted.withColumn("uniqueness", F.when(F.col("total_vocabs") > 0, share))
 
 
+def vocabulary_sketch(df: DataFrame, column: str, by: Sequence[str] = (), precision: int = 12) -> DataFrame:
+    """(by, total_vocabs, sketch): all words, and a HyperLogLog sketch of the different ones.
+
+    A sketch has a fixed size (about ``2**precision`` bytes) and merges with others, so tables are read once
+    and words never move. Its relative error is about ``1.04 / sqrt(2**precision)``.
+    """
+    rows = df.select(*by, F.explode_outer(words(F.col(column))).alias("__w"))
+    return rows.groupBy(*by).agg(F.count("__w").alias("total_vocabs"), F.hll_sketch_agg("__w", F.lit(precision)).alias("sketch"))
+
+
+def vocabulary_estimate(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``vocabulary_stats`` of the merged sketches: totals are exact, different words and their share estimates."""
+    merged = sketches.groupBy(*by).agg(F.coalesce(F.sum("total_vocabs"), F.lit(0)).alias("total_vocabs"), F.hll_union_agg("sketch").alias("s"))
+    found = merged.select(*by, "total_vocabs", F.hll_sketch_estimate("s").alias("total_unique_vocabs"))
+    share = F.round(100 * F.col("total_unique_vocabs") / F.col("total_vocabs"), 4)
+    return found.withColumn("uniqueness", F.when(F.col("total_vocabs") > 0, share))
+
+
+def heavy_terms(
+    occurrences: DataFrame, k: int, term: str = "word", tracked: int = 100_000, counted: DataFrame | None = None
+) -> DataFrame | None:
+    """The ``k`` most frequent terms with their exact counts ``n``, or none if the sketch cannot tell them for sure.
+
+    A frequent-items sketch of ``tracked`` terms names four candidates for each place; the candidates, which
+    are broadcast, are counted exactly in a second pass, so only their counts move. A term that is no candidate
+    occurs at most as often as the last candidate's upper estimate, or twice the sketch's error if it names
+    fewer. If the k-th exact count is above that, no other term can be among the first ``k``. With ``counted``,
+    the same terms with their counts ``tf`` by document, the second pass reads that, and ``df`` is added.
+    """
+    wanted = min(4 * k, tracked)
+    sketch = F.expr(f"approx_top_k({term}, {wanted}, {tracked})")
+    found = occurrences.agg(F.count(term).alias("n"), sketch.alias("top")).first()
+    names = [(r["item"],) for r in found["top"]]
+    if not names:
+        return None
+    slots = 1 << (int(tracked / 0.75) - 1).bit_length()  # the sketch's table is a power of two
+    bound = 2 * 3.5 / slots * found["n"]
+    if len(names) == wanted:
+        bound = max(bound, found["top"][-1]["count"])
+    candidates = F.broadcast(occurrences.sparkSession.createDataFrame(names, f"{term} string"))
+    if counted is None:
+        exact = occurrences.join(candidates, term).groupBy(term).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        exact = counted.join(candidates, term).groupBy(term).agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+    best = cut_lineage(exact.orderBy(F.desc("n"), term).limit(k))  # k rows
+    least = best.agg(F.min("n"), F.count(F.lit(1))).first()
+    whole = len(names) < wanted and bound < 1  # every term is a candidate
+    return best if whole or (least[1] == k and least[0] > bound) else None
+
+
 def length_density(df: DataFrame, column: str, unit: str = "word", points: int = GRID_POINTS) -> DataFrame:
     """Gaussian kernel density of the lengths on a regular grid, Scott's bandwidth.
 
@@ -171,11 +222,21 @@ def length_density(df: DataFrame, column: str, unit: str = "word", points: int =
     return on_grid.groupBy("point").agg(F.round(F.max("x"), 4).alias("x"), F.round(F.sum(kernel), 9).alias("density"))
 
 
-def top_terms(df: DataFrame, column: str, stop_words: Sequence[str], k: int) -> DataFrame:
-    """The ``k`` most frequent words (lower case, letters and digits) that are no stop words."""
+def top_terms(df: DataFrame, column: str, stop_words: Sequence[str], k: int, sketch: bool = False) -> DataFrame:
+    """The ``k`` most frequent words (lower case, letters and digits) that are no stop words.
+
+    With ``sketch`` only candidates are counted, see ``heavy_terms``; where it cannot be sure of the result, all
+    words are counted as without it.
+    """
     stop = sorted({w.lower() for w in stop_words})
     word = F.explode(F.regexp_extract_all(F.lower(F.col(column)), F.lit(f"[{WORD}]+"), 0)).alias("word")
-    counted = df.select(word).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    occurrences = df.select(word)
+    if sketch:
+        some = occurrences.filter(~F.col("word").isin(stop)) if stop else occurrences
+        found = heavy_terms(some, k)
+        if found is not None:
+            return found
+    counted = occurrences.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     # Stop words go after the counting, once per word instead of once per occurrence.
     kept = counted.filter(~F.col("word").isin(stop)) if stop else counted
     return kept.orderBy(F.desc("n"), "word").limit(k)

@@ -66,6 +66,10 @@ def test_features_are_sparse_and_equal_to_plain_weights(docs, texts, dimension):
     assert weights == pytest.approx({(i, known[j]): table[i, j] for i, j in zip(*np.nonzero(table))})
 
 
+def test_vocabulary_from_a_sketch(docs):
+    assert drift.term_model(docs, "t", 25, sketch=True) == drift.term_model(docs, "t", 25)
+
+
 def test_projection_equals_singular_vectors(docs, texts):
     _, _, table = plain(texts, 60)
     features = drift.feature_table(docs, "t", ["d"], 60)
