@@ -49,18 +49,20 @@ def terms(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True)
     return rows.filter(F.col("term").isNotNull())
 
 
-def term_counts(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True) -> DataFrame:
-    """(key, term, tf), counted inside each row: equal terms of its sorted array are neighbours.
-
-    Nothing is shuffled; rows that share a key are counted each for itself.
-    """
-    cut = term_arrays(df, column, key, bigrams, "__t").select(*key, F.sort_array("__t").alias("__t"))
+def counted_rows(df: DataFrame, key: Sequence[str], array: str, term: str = "term", count: str = "tf") -> DataFrame:
+    """(key, term, tf): each row's array of terms, counted inside the row: equal ones are neighbours when sorted."""
+    cut = df.select(*key, F.sort_array(array).alias("__t"))
     places = F.when(F.size("__t") > 0, F.sequence(F.lit(1), F.size("__t")))
     starts = F.filter(places, lambda i: (i == 1) | (F.element_at("__t", i) != F.element_at("__t", F.greatest(i - 1, F.lit(1)))))
     cut = cut.select(*key, "__t", starts.alias("__f"))
     ends = F.concat(F.slice("__f", F.lit(2), F.size("__f")), F.array(F.size("__t") + 1))
-    runs = F.zip_with("__f", ends, lambda a, b: F.struct(F.element_at("__t", a).alias("term"), (b - a).cast("long").alias("tf")))
-    return cut.select(*key, runs.alias("__c")).select(*key, F.inline_outer("__c")).filter(F.col("term").isNotNull())
+    runs = F.zip_with("__f", ends, lambda a, b: F.struct(F.element_at("__t", a).alias(term), (b - a).cast("long").alias(count)))
+    return cut.select(*key, runs.alias("__c")).select(*key, F.inline_outer("__c")).filter(F.col(term).isNotNull())
+
+
+def term_counts(df: DataFrame, column: str, key: Sequence[str], bigrams: bool = True) -> DataFrame:
+    """(key, term, tf). Nothing is shuffled; rows that share a key are counted each for itself."""
+    return counted_rows(term_arrays(df, column, key, bigrams), key, "__terms")
 
 
 @dataclass(frozen=True)
