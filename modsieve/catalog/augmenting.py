@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from modsieve.catalog.fixtures import lexicon, linked, reviews, with_tables
+from modsieve.catalog.fixtures import lexicon, linked, reviews, texts, with_tables
 from modsieve.catalog.folding import md5_of
 from modsieve.catalog.registry import query
 from modsieve.functions.text import BAD_HOST, SPACE, URL_ANYWHERE, URL_BEFORE_PATH, URL_DOMAIN, URL_TO_CLEAN
@@ -110,9 +110,9 @@ def shuffled_sql(parts: str, op: str, key: str = "row_id") -> str:
 SENTENCES = f"array_to_string({shuffled_sql(f'string_split_regex(body, {quoted(f'(?:\\.[{SPACE}]|\\n)+')})', 'sentence')}, '. ')"
 
 
-@query("sentence_shuffle", with_tables("reviews", "", f"SELECT row_id, {SENTENCES} AS body FROM reviews"))
+@query("sentence_shuffle", with_tables("texts", "", f"SELECT row_id, {SENTENCES} AS body FROM texts"))
 def _(spark, sf):
-    return A.sentence_shuffle(reviews(spark, sf).select("row_id", "body"), "body", SEED, KEY)
+    return A.sentence_shuffle(texts(spark, sf).select("row_id", "body"), "body", SEED, KEY)
 
 
 SPLIT_WORDS = f"string_split_regex(body, {quoted(f'[{SPACE}]+')})"
@@ -121,24 +121,24 @@ SPLIT_WORDS = f"string_split_regex(body, {quoted(f'[{SPACE}]+')})"
 @query(
     "append_random_words",
     with_tables(
-        "reviews",
-        f"""w AS (SELECT row_id, body, {SPLIT_WORDS} AS words FROM reviews),
+        "texts",
+        f"""w AS (SELECT row_id, body, {SPLIT_WORDS} AS words FROM texts),
         d0 AS (SELECT row_id, len(words) AS total, least(len(words), 5 + floor({uniform_sql(md5_of('words'))} * 10)::BIGINT) AS k FROM w),
         {draws_sql('d0', 14, 'word')},
         tails AS (SELECT row_id, string_agg(words[place + 1], ' ' ORDER BY {md5_of('word order', 'row_id, place')}, place) AS tail
                   FROM flat JOIN w USING (row_id) GROUP BY row_id)""",
-        "SELECT row_id, body || tail AS body FROM reviews JOIN tails USING (row_id)",
+        "SELECT row_id, body || tail AS body FROM texts JOIN tails USING (row_id)",
     ),
 )
 def _(spark, sf):
-    return A.append_random_words(reviews(spark, sf).select("row_id", "body"), "body", SEED, KEY)
+    return A.append_random_words(texts(spark, sf).select("row_id", "body"), "body", SEED, KEY)
 
 
 @query(
     "phonetic_swap",
     with_tables(
-        "reviews lexicon",
-        f"""w AS (SELECT row_id, {SPLIT_WORDS} AS words FROM reviews),
+        "texts lexicon",
+        f"""w AS (SELECT row_id, {SPLIT_WORDS} AS words FROM texts),
         d0 AS (SELECT row_id, len(words) AS total,
                       least(3, len(words)) + floor({uniform_sql(md5_of('swaps'))} * (least(10, len(words)) - least(3, len(words)) + 1))::BIGINT AS k FROM w),
         {draws_sql('d0', 10, 'swap')},
@@ -151,7 +151,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return A.phonetic_swap(reviews(spark, sf).select("row_id", "body"), "body", lexicon(spark, sf), SEED, KEY)
+    return A.phonetic_swap(texts(spark, sf).select("row_id", "body"), "body", lexicon(spark, sf), SEED, KEY)
 
 
 @query(

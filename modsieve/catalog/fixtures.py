@@ -37,6 +37,13 @@ def reviews_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_reviews(rest, F.lit(None).cast("int"))
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in the layout of the reviews, for what needs no label."""
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_id"), F.col("text").alias("body"), F.col("lang").alias("rule"), F.col("source").alias("subreddit")
+    )
+
+
 def reviews_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = reviews(spark, sf_dir).withColumn(
         "body", F.when(F.col("row_id") % 17 != 0, F.col("body"))
@@ -162,6 +169,7 @@ SQL = {
         SELECT d.doc_id AS row_id, d.text AS body, d.lang AS rule, d.source AS subreddit,
                CAST(NULL AS INTEGER) AS rule_violation, d.n_chars
         FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "texts": "SELECT doc_id AS row_id, text AS body, lang AS rule, source AS subreddit FROM documents",
     "reviews_dirty": """
         SELECT row_id, CASE WHEN row_id % 17 <> 0 THEN body END AS body, rule, subreddit, rule_violation, n_chars
         FROM reviews

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from modsieve.catalog.fixtures import reviews, reviews_dirty, reviews_examples, reviews_test, table, with_tables
+from modsieve.catalog.fixtures import reviews, reviews_dirty, reviews_examples, reviews_test, table, texts, with_tables
 from modsieve.catalog.registry import query
 from modsieve.functions import prompts
 from modsieve.operators.labels import (
@@ -93,20 +93,20 @@ ZERO_SHOT = (
 @query(
     "zero_shot_messages",
     with_tables(
-        "reviews",
+        "texts",
         "",
-        f"""SELECT row_id, CAST(0 AS INTEGER) AS turn, 'system' AS role, '{prompts.TASK}Rule : ' || {strip_sql('rule')} AS content FROM reviews
-            UNION ALL SELECT row_id, 1, 'user', {strip_sql('body')} FROM reviews""",
+        f"""SELECT row_id, CAST(0 AS INTEGER) AS turn, 'system' AS role, '{prompts.TASK}Rule : ' || {strip_sql('rule')} AS content FROM texts
+            UNION ALL SELECT row_id, 1, 'user', {strip_sql('body')} FROM texts""",
     ),
 )
 def _(spark, sf):
-    told = reviews(spark, sf).select("row_id", F.posexplode(prompts.zero_shot_messages()).alias("turn", "m"))
+    told = texts(spark, sf).select("row_id", F.posexplode(prompts.zero_shot_messages()).alias("turn", "m"))
     return told.select("row_id", "turn", "m.role", "m.content")
 
 
-@query("zero_shot_prompt", with_tables("reviews", "", f"SELECT row_id, {ZERO_SHOT} AS prompt FROM reviews"))
+@query("zero_shot_prompt", with_tables("texts", "", f"SELECT row_id, {ZERO_SHOT} AS prompt FROM texts"))
 def _(spark, sf):
-    return with_prompt(reviews(spark, sf), prompts.zero_shot_prompt()).select("row_id", "prompt")
+    return with_prompt(texts(spark, sf), prompts.zero_shot_prompt()).select("row_id", "prompt")
 
 
 @query(

@@ -21,7 +21,7 @@ URLS_APPENDED = (1, 5)
 WORDS_APPENDED = (5, 14)
 WORDS_SWAPPED = (3, 10)
 LONGEST_SWAPPED = 10
-LEXICON_COPIES = 16
+PARTITIONS_PER_COPY = 8
 NEGATION = rf"(?:N|n)ot?[{T.SPACE}]+"
 
 
@@ -130,22 +130,25 @@ def phonetic_swap(df: DataFrame, col: str, lexicon: DataFrame, seed: int, key: K
     size = F.size("__words")
     count = between(seeded(seed, "swaps", *key), F.least(F.lit(low), size), F.least(F.lit(high), size))
     places = distinct_draws("__n", "__k", high, lambda i: seeded(seed, "swap", *key, i))
+    drawn = F.transform(places, lambda p: F.struct(p.cast("int").alias("__i"), F.get("__words", p).alias("__word")))
     picks = (
         df.filter(F.col(col).isNotNull())
         .select(*key, words.alias("__words"))
         .withColumn("__n", size)
         .withColumn("__k", count)
-        .select(*key, "__words", F.explode(places).alias("__place"))
-        .select(*key, F.col("__place").cast("int").alias("__i"), F.get("__words", F.col("__place")).alias("__word"))
+        .select(*key, drawn.alias("__picks"))  # at most ten words go on, never the text
+        .select(*key, F.inline_outer("__picks"))
         .filter(F.char_length("__word") <= LONGEST_SWAPPED)
         .select(*key, "__i", F.lower("__word").alias("word"))
     )
     sound = F.lower(F.regexp_replace("phones", rf"[{T.SPACE}\p{{Nd}}]", ""))
     order = F.struct("place", "phones") if "place" in lexicon.columns else F.struct("phones")
     single = lexicon.groupBy("word").agg(F.min(order)["phones"].alias("phones"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(LEXICON_COPIES - 1))).alias("__salt")
+    # Some copies for each share of the partitions, so a word that makes up much of the texts is no single task's.
+    copies = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_COPY)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("__salt")
     known = single.select("word", sound.alias("__sound"), salts)
-    salt = F.pmod(F.xxhash64(*key, "__i"), F.lit(LEXICON_COPIES)).cast("int")
+    salt = F.pmod(F.xxhash64(*key, "__i"), F.lit(copies)).cast("int")
     swaps = (
         picks.withColumn("__salt", salt)
         .join(known, ["word", "__salt"])
