@@ -64,14 +64,20 @@ DROP_WORDS = frozenset(
 )
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)", re.S)
-_NAMES = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# What a name's last part says about a place, not about its content; and parts that turn a name round.
+PLACES = frozenset(
+    "list box wrapper wrap container section area block bar left right top bottom slot unit widget panel item items "
+    "links form inner group posts column zone label title link links".split()
+)
+TURNED = frozenset("no not non without with has hide hidden".split())
 
 
 class Node:
-    __slots__ = ("tag", "names", "label", "children", "parent", "template", "_text", "_runs")
+    __slots__ = ("tag", "dropped", "label", "children", "parent", "template", "_text", "_runs")
 
-    def __init__(self, tag: str, names: frozenset[str], parent: "Node | None"):
-        self.tag, self.names, self.parent = tag, names, parent
+    def __init__(self, tag: str, names: frozenset[str], parent: "Node | None", dropped: bool = False):
+        self.tag, self.dropped, self.parent = tag, dropped or "#hidden" in names, parent
         self.label = (tag, names)
         self.children: list[Node | str] = []
         self.template = False
@@ -135,7 +141,8 @@ def parse(page: str) -> Node:
             node = _close(node, tag)
             continue
         node = _make_room(node, tag)
-        child = Node(tag, _names(rest) if "=" in rest or "hidden" in rest else frozenset(), node)
+        names, tokens = _names(rest) if "=" in rest or "hidden" in rest.lower() else (frozenset(), ())
+        child = Node(tag, names, node, any(map(_says_drop, tokens)))
         node.children.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
@@ -145,14 +152,27 @@ def parse(page: str) -> Node:
     return root
 
 
-def _names(rest: str) -> frozenset[str]:
+def _names(rest: str) -> tuple[frozenset[str], list[str]]:
+    """Words of class, id and role, which name a part alike on all pages, and the whole names."""
     words: set[str] = set()
-    for m in _NAMES.finditer(rest):
+    tokens: list[str] = []
+    for m in _ATTRIBUTE.finditer(rest):
         if m[1].lower() == "hidden":
             words.add("#hidden")
-        else:
-            words.update(re.findall(r"[a-z]+", (m[2] or m[3] or m[4] or "").lower()))
-    return frozenset(words)
+        elif m[1].lower() in ("class", "id", "role"):
+            value = (m[2] or m[3] or m[4] or "").lower()
+            tokens.extend(value.split())
+            words.update(re.findall(r"[a-z]+", value))
+    return frozenset(words), tokens
+
+
+def _says_drop(token: str) -> bool:
+    """Does a name say that its part is no content? A compound is what its last part says (``site-footer``), or
+    its first part if the last one only says where (``sidebar-left``)."""
+    parts = re.findall(r"[a-z]+", token)
+    if not parts or TURNED & set(parts[:-1]):
+        return False
+    return parts[-1] in DROP_WORDS or len(parts) > 1 and parts[0] in DROP_WORDS and parts[-1] in PLACES
 
 
 def _close(node: Node, tag: str) -> Node:
@@ -177,14 +197,14 @@ def _make_room(node: Node, tag: str) -> Node:
 
 def is_furniture(node: Node) -> bool:
     """Does the part's own tag or naming say that it is no content?"""
-    if node.tag in DROP_TAGS or "#hidden" in node.names:
+    if node.tag in DROP_TAGS:
         return True
-    if node.tag in ("html", "body", "article", "main", "#page"):
-        return False
-    if node.tag == "header":
+    if node.tag in ("html", "body", "main", "#page"):
+        return "#hidden" in node.label[1]
+    if node.tag == "header" and "#hidden" not in node.label[1]:
         # A page's header goes; an article's header with its heading stays.
         return not (_inside(node, "article") and any(isinstance(c, Node) and c.tag in ("h1", "h2") for c in node.children))
-    return bool(node.names & DROP_WORDS)
+    return node.dropped
 
 
 def _inside(node: Node, tag: str) -> bool:
@@ -268,9 +288,11 @@ def content_roots(page: Node) -> list[Node]:
         found, stack = [], [page]
         while stack:
             x = stack.pop()
+            if is_furniture(x):
+                continue  # reader comments may be articles too
             if x.tag == tag:
                 found.append(x)
-            elif not is_furniture(x):
+            else:
                 stack.extend(c for c in reversed(x.children) if isinstance(c, Node))
         if found:
             return found

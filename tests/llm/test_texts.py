@@ -58,6 +58,23 @@ def test_html_of_the_given_pages(spark, sf_dir):
         assert r["text"] == plain(pages[r["page_id"]]) and r["n_chars"] == len(r["text"])
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<body><article><p>Story.</p></article><article class="comment"><p>Nice!</p></article></body>', "Story."),
+        ('<article><p>Story.</p><article class="comment">Nice!</article></article>', "Story."),
+        ('<body class="no-sidebar"><div class="content no-sidebar"><article><p>Story.</p></article></div></body>', "Story."),
+        ('<div class="page-without-menu"><article>Story.</article></div>', "Story."),
+        ('<article><p class="ad-hoc">One.</p><div class="search-results">Two.</div><p class="ad">Buy</p><div class="ad-slot">Buy</div></article>', "One.\n\nTwo."),
+        ('<article><p data-x="hidden">One.</p><p title=" hidden ">Two.</p><p title="class=menu">Three.</p><p hidden>Four.</p><p HIDDEN="">Five.</p></article>', "One.\n\nTwo.\n\nThree."),
+        ('<div id="site-footer">Foot</div><main><div class="sidebar-left">Side</div><p>Story.</p><div class="cookie-banner">Yes?</div></main>', "Story."),
+        ('<article role="main" id=post-12><p>Story.</p><div role="complementary">More</div></article>', "Story."),
+    ],
+)
+def test_names_of_parts(page, text):
+    assert html_text.main_text(html_text.parse(page)) == text
+
+
 def test_licences(spark):
     mit = "Released under the MIT License."
     rows = [
@@ -103,6 +120,49 @@ def test_licences_are_not_taken_for_others(spark):
     assert all(len(got[f"n{i}/f.py"]) == 1 for i in range(240)) and not any(got[f"p{i}/f.py"] for i in range(4000))
 
 
+def test_denied_joined_and_short_notices(spark):
+    rows = [
+        ("a/f.py", "# This is not licensed under the MIT License.\nx"), ("b/f.py", "// SPDX-License-Identifier: (Apache-2.0 OR MIT)\nx"),
+        ("c/f.py", "/* SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note AND BSD-3-Clause */"),
+        ("d/f.py", "# Released under the MIT License.\nprint('one line of code')"), ("d/g.py", "x"),
+        ("e/f.py", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ]
+    rows += [(f"p{i}/f.py", f"the plain prose number {i} under a tree") for i in range(400)]
+    got = {r["path"]: (r["licences"], r["origin"]) for r in licences.scan_licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got["a/f.py"] == ([], "none")
+    assert got["b/f.py"] == (["Apache-2.0", "MIT"], "header")
+    assert got["c/f.py"] == (["BSD-3-Clause", "GPL-2.0"], "header")
+    assert got["d/f.py"] == (["MIT"], "header") and got["d/g.py"] == ([], "none")
+    assert got["e/f.py"] == (["MPL-2.0"], "file")
+
+
+def test_licences_equal_brute_force_cosines(spark, monkeypatch):
+    """Lines cut from statements and mixed with other words: the tests before the cosine lose none and add none."""
+    monkeypatch.setattr(licences, "COMMON_TERMS", 30)
+    rng = random.Random(21)
+    noise = [f"word{i}" for i in range(60)] + ["the", "of", "software", "version", "license"]
+    lines = []
+    for i in range(400):
+        some = licences._python_terms(rng.choice(licences.STATEMENTS)[1])
+        rng.shuffle(some)
+        lines.append(" ".join(some[: rng.randrange(1, len(some) + 1)] + rng.choices(noise, [1 / (k + 1) for k in range(len(noise))], k=rng.randrange(0, 9))))
+    rows = [(f"d{i}/f.py", line) for i, line in enumerate(lines)]
+    bags = [Counter(licences._python_terms(t)) for t in lines]
+    df = Counter(t for b in bags for t in b)
+    idf = {t: math.log((1 + len(rows)) / (1 + max(1, df[t]))) + 1 for t in [*df, *(t for _, x in licences.STATEMENTS for t in licences._python_terms(x))]}
+    vectors = [(name, licences.weights(Counter(licences._python_terms(text)), idf)) for name, text in licences.STATEMENTS]
+    want = {}
+    for (path, _), bag in zip(rows, bags):
+        x = {t: n * idf[t] for t, n in bag.items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        cosines = [(round(sum(v * vector.get(t, 0) for t, v in x.items()) / norm, 6), name) for name, vector in vectors]
+        best = max(c for c, _ in cosines)
+        names = {name for c, name in cosines if c == best and name} if best >= 0.75 else set()
+        want[path] = {n for n in names if not any(o != n and o.startswith(n + "-") and o[len(n) + 1].isdigit() for o in names)}
+    got = {r["path"]: set(r["licences"]) for r in licences.scan_licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == want and sum(map(bool, want.values())) > 60
+
+
 def test_licence_prefilter_loses_nothing():
     """Every segment without a needed term stays below the threshold."""
     rng = random.Random(2)
@@ -249,3 +309,17 @@ def test_pipeline_edges(spark, tmp_path, sf_dir):
     for table in ("documents",):
         docs.limit(0).write.parquet(f"{here}/{table}.parquet")
     assert corpus_pipeline.run(spark, here).collect() == []
+
+
+def test_near_copies_keep_every_text_of_an_id(spark, sf_dir):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    a, b, c = (" ".join(f"w{rng.randrange(500)}" for _ in range(120)) for _ in range(3))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (3, b + " z", "x"), (3, c, "x"), (None, a, "x"), (4, None, "x"), (4, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(2)
+    got = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    kept = [tuple(r) for r in got.collect()]
+    assert sorted(map(str, kept))[:3] == sorted(map(str, [(1, a, "x"), (2, b, "x"), (3, c, "x")]))
+    assert (None, a, "x") in kept and len(kept) == 5
