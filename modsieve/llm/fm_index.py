@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modsieve.llm import units
-from modsieve.llm.repeats import Windows, repeated_windows, with_spans
+from modsieve.llm.repeats import Windows, distinct_ids, given_ids, repeated_windows, with_spans
 
 LENGTH = 20
 ANCHOR = 10
@@ -131,13 +131,15 @@ def drop_repeats(
     sequence also starts earlier: in a document with a smaller id, or before in the same one.
     ``kept`` is the remaining words joined by one space. All is judged on the input. Words lie
     between ASCII white space, unchanged, and are compared by 64-bit hashes. Null and empty
-    texts have no words. Repeated rows are one document; a row without an id keeps all its
+    texts have no words. Repeated rows are one document; rows with one id and different texts are
+    different documents, in the order of the texts' digests. A row without an id keeps all its
     words and is no other's model. Other columns are ignored.
     """
     if not 1 <= anchor <= length:
         raise ValueError("the anchor must be no longer than the window")
     w = Windows(length, anchor, True, _words)
-    texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    given = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts, numbers = distinct_ids(given)
     spans = repeated_windows(texts, w, lambda data, u: u, "u8", shared_windows(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,4 +173,5 @@ def drop_repeats(
                 )
 
     schema = "id bigint, kept string, n_words bigint, spans array<struct<a:bigint,b:bigint>>"
-    return with_spans(texts, spans).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    found = with_spans(texts, spans).mapInArrow(run, schema)
+    return given_ids(found, numbers).withColumnRenamed("id", id_col)

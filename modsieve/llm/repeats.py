@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from modsieve.keys import running_total
 from modsieve.llm import units
 from modsieve.session import cut_lineage
 
@@ -262,6 +263,35 @@ def small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
+def distinct_ids(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``texts`` (id, text, more) with an id for every different text, and ``(id, given)`` if any id was changed.
+
+    Ids that name several texts would mix up their spans. Only then all rows with an id are numbered anew, in the
+    order of ids, texts of one id by their digests; equal rows keep sharing a number. Otherwise the
+    rows come back as they are: a hash of each text, combined where it is read, tells.
+    """
+    hashed = texts.where("id is not null").select("id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    if hashed.groupBy("id").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").isEmpty():
+        return texts, None
+    keyed = texts.withColumn("digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    rows = keyed.where("id is not null").select("id", "digest").distinct().withColumn("one", F.lit(1))
+    numbers = running_total(rows, ["id", "digest"], "one", "number").select(
+        F.col("id").alias("given"), F.col("digest").alias("__digest"), F.col("number").cast("long").alias("number")
+    )
+    numbers = cut_lineage(numbers)
+    both = keyed.join(numbers, (F.col("id") == F.col("given")) & (F.col("digest") == F.col("__digest")), "left")
+    more = [c for c in texts.columns if c not in ("id", "text")]
+    return both.select(F.col("number").alias("id"), "text", *more), numbers.select(F.col("number").alias("id"), "given")
+
+
+def given_ids(rows: DataFrame, numbers: DataFrame | None) -> DataFrame:
+    """``rows`` with the ids that were given instead of the numbers of ``distinct_ids``."""
+    if numbers is None:
+        return rows
+    others = [c for c in rows.columns if c != "id"]
+    return rows.join(numbers.withColumnRenamed("id", "__number"), F.col("id") == F.col("__number"), "left").select(F.col("given").alias("id"), *others)
+
+
 def repeated_windows(texts: DataFrame, w: Windows, pack: Callable, dtype: str, shared: Callable) -> DataFrame:
     """``doc, spans``: the starts of windows that count, as runs ``(start, n)``; see Windows.
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from modsieve.llm import units
-from modsieve.llm.repeats import Windows, repeated_windows, with_spans
+from modsieve.llm.repeats import Windows, distinct_ids, given_ids, repeated_windows, with_spans
 
 LENGTH = 400
 ANCHOR = 250
@@ -99,13 +99,14 @@ def drop_repeats(
     ``spans`` are the maximal runs of bytes covered by a string of ``length`` bytes that also
     starts anywhere else, in this document or another; ``kept`` is what is left (a cut may
     split a character). All is judged on the input. Null and empty texts have no bytes.
-    Repeated rows are copies of each other. A row without an id keeps all its bytes and is no
+    Repeated rows are copies of each other; rows with one id and different texts are different documents. A row without an id keeps all its bytes and is no
     copy of another. Other columns are ignored.
     """
     if not 1 <= anchor <= length:
         raise ValueError("the anchor must be no longer than the window")
     w = Windows(length, anchor, False, _bytes)
-    texts = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    given = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts, numbers = distinct_ids(given)
     spans = repeated_windows(texts, w, lambda data, u: data, "u1", shared_windows(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,4 +138,5 @@ def drop_repeats(
                 )
 
     schema = "id bigint, kept binary, n_bytes bigint, spans array<struct<a:bigint,b:bigint>>"
-    return with_spans(texts, spans).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    found = with_spans(texts, spans).mapInArrow(run, schema)
+    return given_ids(found, numbers).withColumnRenamed("id", id_col)

@@ -85,6 +85,20 @@ def test_repeated_rows_and_rows_without_id(spark):
     assert got == [(0, 0), (1, 1), (1, 1)]
 
 
+def test_ids_that_name_several_texts(spark):
+    """No text is cut by another one's spans, and only repeated windows go."""
+    rng = random.Random(5)
+    a, b, c = (words(rng, 250, 90_000) for _ in range(3))
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, None), (3, ""), (2, a), (None, b + " x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    cut = sorted((r[0] or 0, r["kept"].decode()) for r in suffix_array.drop_repeats(df).collect())
+    assert cut == sorted([(1, ""), (2, ""), (2, ""), (2, b), (3, c), (3, ""), (3, ""), (0, b + " x")])
+    cut = sorted((r[0] or 0, r["kept"]) for r in fm_index.drop_repeats(df).collect())
+    assert cut == sorted([(1, a), (2, ""), (2, ""), (2, b), (3, c), (3, ""), (3, ""), (0, b + " x")])
+    once = spark.createDataFrame([(1, a), (1, b)], "doc_id bigint, text string")
+    assert sorted(len(r["kept"]) for r in fm_index.drop_repeats(once).collect()) == sorted([len(a), len(b)])
+
+
 def test_jaccard(docs, texts):
     want = brute.jaccard(texts)
     assert {r[0]: (r[1], r[2]) for r in jaccard.jaccard_classes(docs).collect()} == want
