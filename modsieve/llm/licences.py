@@ -23,6 +23,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from modsieve.operators.drift import counted_rows
 from modsieve.session import cut_lineage
 
 # Names of well-known licences. A family without its version has a name of its own,
@@ -136,6 +137,21 @@ _TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 _FILE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([._-].*)?$"
 
 
+_EXPRESSION = r"(?i)spdx-license-identifier:.*\s(or|and)\s"
+_DENIED = r"(?i)\b(not|never|no longer)\s+(\w+\s+){0,2}(licen[sc]ed|released|distributed|covered|available|governed)\s+(under|by)\b"
+#: Terms whose frequency is known to the first, coarse test.
+COMMON_TERMS = 5_000
+#: Cosine from which a whole text counts as a licence's own text.
+WHOLE = 0.95
+
+
+def _alternatives(line: Column) -> Column:
+    """The licences that an SPDX expression joins, each as an identifier line of its own."""
+    names = F.split(F.regexp_extract(line, r"(?i)spdx-license-identifier:\s*(.*)", 1), r"(?i)\s+(?:or|and)\s+")
+    plain = F.transform(names, lambda x: F.regexp_replace(F.regexp_replace(x, "[()]", " "), r"(?i)\s+with\s+.*$", ""))
+    return F.transform(plain, lambda x: F.concat(F.lit("SPDX-License-Identifier: "), F.trim(x)))
+
+
 def terms(text: Column) -> Column:
     """Lower-case terms of a text; version numbers stay whole."""
     return F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0))
@@ -190,8 +206,10 @@ def scan_licences(
 
     ``licences`` holds every licence that one of the file's segments names, sorted; without
     any, those of the nearest ancestor directory with a licence file. ``origin`` is ``file``
-    (it is a licence file itself), ``header``, ``inherited`` or ``none``. A segment names the
-    licence of its best statement, ties all; a statement with an empty name names nothing. Null and empty texts name nothing but inherit.
+    (it is a licence file itself: by its name, or because its whole text is a statement or next to it), ``header``,
+    ``inherited`` or ``none``. A segment names the licence of its best statement, ties all; a statement with
+    an empty name names nothing, nor does a segment that says it is not licensed under something. An SPDX
+    expression names all its licences. Null and empty texts name nothing but inherit.
     A null path is one group without ancestors. Rows with the same path are one file with all
     their segments. Other columns are ignored.
     """
@@ -210,14 +228,19 @@ def scan_licences(
     vectors = [weights(c, idf) for c in count]
     needed = sorted(set().union(*(needed_terms(v, threshold) for v, (name, _) in zip(vectors, statements, strict=True) if name)))
 
-    # Segments that can reach the threshold at all.
-    found = r"(?i)(^|[^a-z0-9.])(" + "|".join(t.replace(".", r"\.") for t in needed) + r")($|[^a-z0-9])"
+    # Segments that can reach the threshold at all; stored, since most of the work is to find them.
+    def telling(text: Column) -> Column:
+        return F.arrays_overlap(terms(text), F.array(*[F.lit(t) for t in needed]))
+
     lines = F.split("text", r"\r?\n")
     blocks = F.transform(F.split("text", r"\r?\n[ \t]*\r?\n"), lambda b: F.regexp_replace(b, r"\s+", " "))
-    held = base.where(F.col("text").rlike(found))
-    parts = F.array_distinct(F.filter(F.concat(lines, blocks), lambda x: x.rlike(found)))
-    segments = held.select("path", F.explode(parts).alias("segment"))
-    segments = segments.select("path", F.md5("segment").alias("seg"), "segment").dropDuplicates(["path", "seg"])
+    held = base.where(telling(F.col("text")))
+    # An SPDX expression is one segment for each of its licences.
+    each = F.flatten(F.transform(F.concat(lines, blocks), lambda x: F.when(x.rlike(_EXPRESSION), _alternatives(x)).otherwise(F.array(x))))
+    pieces = held.select("path", F.explode_outer(F.array_distinct(each)).alias("segment"))
+    pieces = pieces.where(telling(F.col("segment")) & ~F.col("segment").rlike(_DENIED))
+    segments = pieces.select("path", F.md5("segment").alias("seg"), "segment").groupBy("path", "seg").agg(F.first("segment").alias("segment"))
+    segments = cut_lineage(segments)
 
     rare = math.log((1 + total) / 2) + 1
     flat = [(i, statements[i][0], t, w) for i, v in enumerate(vectors) for t, w in v.items()]
@@ -226,21 +249,31 @@ def scan_licences(
     unique = segments.groupBy("seg").agg(F.first("segment").alias("segment"))
 
     def counted(rows: DataFrame) -> DataFrame:
-        exploded = rows.select("seg", F.explode(terms(F.col("segment"))).alias("term"))
-        return exploded.groupBy("seg", "term").agg(F.count(F.lit(1)).alias("n"))
+        return counted_rows(rows.select("seg", terms(F.col("segment")).alias("all")), ["seg"], "all", count="n")
 
-    # Long texts around a notice go before they meet the frequencies: with a statement's square r in
-    # frequent terms, the cosine is at most sqrt(r) + sqrt(1 - r) * (length in the others) / (least length),
-    # where terms of no statement weigh 1 at least. This loses nothing either.
+    # Long texts around a notice go before they meet all frequencies: with a statement's square r in
+    # frequent terms, the cosine is at most sqrt(r) + sqrt(1 - r) * (length in the others) / (least length).
+    # The most frequent terms of the corpus weigh what they weigh, all others at least as much as the last
+    # of these. This loses nothing either.
     often = frequent_terms(vectors, df)
     shares = [sum(w * w for t, w in v.items() if t in often) for v in vectors]
     least = min((max(threshold - math.sqrt(r), 0) / math.sqrt(max(1 - r, 1e-9)) for r in shares), default=0.0)
-    own = _literals(spark, [(t, idf[t], t not in often) for t in vocabulary], "term:string,idf:double,telling:boolean")
-    x2 = F.pow(F.col("n") * F.coalesce("idf", F.lit(1.0)), F.lit(2))
-    near = counted(unique).join(F.broadcast(own), "term", "left").groupBy("seg").agg(
+    common = {r["term"]: r["count"] for r in seen.orderBy(F.desc("count"), "term").limit(COMMON_TERMS).collect()}
+    floor = math.log((1 + total) / (1 + min(common.values()))) + 1 if len(common) == COMMON_TERMS else rare
+    floor = min(floor, rare) * (1 - 1e-9)
+    told = {**{t: math.log((1 + total) / (1 + n)) + 1 for t, n in common.items()}, **idf}
+    own = _literals(spark, [(t, w, t in idf and t not in often) for t, w in told.items()], "term:string,idf:double,telling:boolean")
+    bag = counted(unique)
+    x2 = F.pow(F.col("n") * F.coalesce("idf", F.lit(floor)), F.lit(2))
+    sizes = bag.join(F.broadcast(own), "term", "left").groupBy("seg").agg(
         F.sum(x2).alias("all"), F.sum(F.when(F.col("telling"), x2).otherwise(0.0)).alias("some")
     )
-    near = near.where(F.col("some") >= F.col("all") * (least * least * (1 - 1e-6))).select("seg")
+    near = sizes.where(F.col("some") >= F.col("all") * (least * least * (1 - 1e-6))).select("seg", "all")
+    # The product with a statement is known, the length is at least that.
+    own = _literals(spark, [(t, idf[t]) for t in vocabulary], "term:string,idf:double")
+    reached = bag.join(F.broadcast(known.join(own, "term")), "term").groupBy("seg", "statement").agg(F.sum(F.col("n") * F.col("idf") * F.col("w")).alias("dot"))
+    reached = reached.groupBy("seg").agg(F.max("dot").alias("dot"))
+    near = near.join(reached, "seg").where(F.col("dot") >= F.sqrt("all") * (threshold * (1 - 1e-6))).select("seg")
     near = cut_lineage(unique.join(near, "seg"))
 
     idfs = seen.select("term", (F.log((1 + total) / (1 + F.col("count"))) + 1).alias("idf"))
@@ -264,7 +297,7 @@ def scan_licences(
     whole = F.md5(F.regexp_replace("text", r"\s+", " "))
     paths = base.select("path", whole.alias("seg"))
     # The whole text is one of the segments if it is a single block.
-    alike = scored.select(F.col("seg").alias("alike")).distinct()
+    alike = scored.where(F.col("cos") >= WHOLE).select(F.col("seg").alias("alike")).distinct()
     paths = paths.join(alike, F.col("seg") == F.col("alike"), "left")
     paths = paths.groupBy("path").agg(F.max(F.col("alike").isNotNull()).alias("whole"))
     tail = F.element_at(F.split("path", "/"), -1)
