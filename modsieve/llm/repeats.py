@@ -55,16 +55,28 @@ class Windows:
     split: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
+def anchors(u: np.ndarray, w: Windows, step: int = 1 << 23) -> tuple[np.ndarray, np.ndarray]:
+    """Place of every window's smallest k-gram, and all k-gram hashes.
+
+    K-grams are compared by their upper 40 bits, equal ones by place; long texts are taken in steps, so that
+    the rule is the same for texts of any length.
+    """
+    grams, width = units.grams(u, w.k), w.length - w.k + 1
+    mask = units.U64((1 << 24) - 1)
+    found = []
+    for low in range(0, len(grams) - width + 1, step):
+        part = grams[low : low + step + width - 1]
+        tagged = (part & ~mask) | np.arange(len(part), dtype=np.uint64)
+        found.append((units.sliding(tagged, width, np.minimum) & mask).astype(np.int64) + low)
+    return np.concatenate(found), grams
+
+
 def runs_of(u: np.ndarray, offsets: np.ndarray, w: Windows):
     """Document, first start, number of starts, anchor hash and content hash of every run."""
     none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     if len(u) < w.length:
         return none
-    grams = units.grams(u, w.k)
-    bits = units.U64(24 if len(u) < 1 << 24 else 34)
-    mask = (units.U64(1) << bits) - units.U64(1)
-    tagged = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
-    anchor = (units.sliding(tagged, w.length - w.k + 1, np.minimum) & mask).astype(np.int64)
+    anchor, grams = anchors(u, w)
     doc = np.searchsorted(offsets, np.arange(len(anchor)), side="right") - 1
     valid = np.arange(len(anchor)) + w.length <= offsets[doc + 1]
     change = np.ones(len(anchor), bool)

@@ -85,6 +85,18 @@ def test_repeated_rows_and_rows_without_id(spark):
     assert got == [(0, 0), (1, 1), (1, 1)]
 
 
+def test_anchors_do_not_depend_on_the_length_of_a_text():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    u = rng.integers(0, 1 << 60, 5000, dtype=np.uint64)
+    u[1000:1200], u[3000:3300] = u[0:200], 7
+    w = repeats.Windows(20, 10, True, None)
+    whole = repeats.anchors(u, w)[0]
+    for step in (1, 7, 100, 4990):
+        assert (repeats.anchors(u, w, step)[0] == whole).all()
+
+
 def test_ids_that_name_several_texts(spark):
     """No text is cut by another one's spans, and only repeated windows go."""
     rng = random.Random(5)
