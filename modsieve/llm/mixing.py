@@ -26,7 +26,6 @@ from modsieve.session import cut_lineage
 SECTIONS = 32
 ROUNDS = 5
 BLOCK_TOKENS = 1_000_000
-MAX_BLOCKS = 4096  # per source; bounds the table of blocks, not what is mixed
 
 
 def tokens(text) -> F.Column:
@@ -114,7 +113,7 @@ def mix(
         F.round(F.col("w") / F.lit(norm), 9).alias("weight"),
         F.floor(budget / F.col("n_tokens")).cast("long").alias("full"),
         (budget % F.col("n_tokens")).alias("rest"),
-        F.least(F.ceil(F.col("n_tokens") / F.lit(block_tokens)), F.lit(MAX_BLOCKS)).cast("int").alias("blocks"),
+        F.ceil(F.col("n_tokens") / F.lit(block_tokens)).cast("long").alias("blocks"),
     )
     # One row per source with tokens; Spark broadcasts it if it is small.
     blocked = base.join(plan, F.col("s").eqNullSafe(F.col("ps"))).drop("ps")
