@@ -148,7 +148,7 @@ def _(spark, sf):
     "drift_profile",
     "WITH docs AS (SELECT * FROM documents WHERE lang = 'en'), "
     + TERMS
-    + """,
+    + r""",
 voc AS (SELECT term, count(*) AS df FROM tf GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 500),
 every AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM documents),
 each AS (SELECT doc_id, lang, unnest(t) AS term FROM every
