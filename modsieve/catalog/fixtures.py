@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream, whether it is stored as one file or as a folder of files."""
+    # A pattern, because a stream takes no path that is a single file.
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def _as_reviews(documents: DataFrame, label) -> DataFrame:
     return documents.select(
         F.col("doc_id").alias("row_id"),

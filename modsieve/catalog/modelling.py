@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from modsieve.catalog.fixtures import reviews, reviews_examples, reviews_test, table, track_stream, with_tables
+from modsieve.catalog.fixtures import arriving, reviews, reviews_examples, reviews_test, table, track_stream, with_tables
 from modsieve.catalog.folding import SEED, folds_sql, md5_of
 from modsieve.catalog.registry import query
 from modsieve.catalog.reshaping import GATED
@@ -161,14 +161,9 @@ def _(spark, sf):
 
 def _tracked(spark, sf):
     model = train_text_classifier(reviews(spark, sf), QUICK)
-    arriving = (
-        spark.readStream.schema(table(spark, sf, "documents").schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(sf)
-        .select(F.col("doc_id").alias("row_id"), F.col("text").alias("body"), F.col("lang").alias("rule"))
-    )
+    documents = arriving(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("body"), F.col("lang").alias("rule"))
     path = fresh(spark, "stream-track")
-    stream_score_and_track(arriving, model, path, fresh(spark, "stream-state")).awaitTermination()
+    stream_score_and_track(documents, model, path, fresh(spark, "stream-state")).awaitTermination()
     return spark.read.parquet(path)
 
 
@@ -202,11 +197,8 @@ def _(spark, sf):
 @query("violation_rate_stream", with_tables("track_stream", "", "").rstrip() + ", " + RATES + " GROUP BY w.window_start")
 def _(spark, sf):
     """All windows, the last one too: every batch stores what it changed."""
-    arriving = (
-        spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    )
     path = fresh(spark, "stream-rate")
-    update_stream(violation_rate(track_stream(arriving)), path, fresh(spark, "stream-rate-state")).awaitTermination()
+    update_stream(violation_rate(track_stream(arriving(spark, sf, "events"))), path, fresh(spark, "stream-rate-state")).awaitTermination()
     return _plain_times(latest(spark, path, ["window_start", "window_end"]))
 
 
