@@ -9,10 +9,9 @@ from modsieve.catalog.registry import query
 from modsieve.catalog.storage import fresh
 from modsieve.operators.drift import (
     compare_to_profile,
+    dealt_features,
     detect_drift,
     domain_classifier,
-    drift_sides,
-    feature_table,
     mean_vector_drift,
     project_2d,
     projection_histogram,
@@ -75,8 +74,7 @@ def _languages(spark, sf):
 
 def _features(spark, sf):
     ref, cur = _languages(spark, sf)
-    rows, doc = drift_sides(ref, "text", ["doc_id"], cur, 2, 1234)
-    return feature_table(rows, "text", [doc, "fold", "side", "held_out"])
+    return dealt_features(ref, "text", ["doc_id"], cur, 2, 1234)[1]
 
 
 @query("project_2d")

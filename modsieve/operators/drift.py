@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -26,6 +27,12 @@ from modsieve.session import cut_lineage
 
 DIMENSION = 500
 BINS = 50
+# The second words of counted pairs are at most this many times ``dimension``, or all words.
+SECONDS = 4
+# Counted terms that a task holds before it passes them on.
+HELD = 1 << 19
+# Rows whose terms are counted at once.
+ROWS = 1024
 
 
 def term_arrays(df: DataFrame, column: str, carry: Sequence[str], bigrams: bool = True, out: str = "__terms") -> DataFrame:
@@ -90,16 +97,67 @@ class TermModel:
         return rows.filter(F.col("place").isNotNull()).select(*key, F.element_at(known, F.col("place") + 1).alias("term"), "weight")
 
 
+def _counting(first: list[str], second: list[str] | None, bigrams: bool):
+    """Occurrences and rows of the words ``first``, and of their pairs with the words ``second`` (all, if none are given)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(first, pa.string())
+        late = None if second is None else pa.array(second, pa.string())
+        held: list[pa.Table] = []
+
+        def summed_up(parts: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(parts).group_by("term").aggregate([("n", "sum"), ("df", "sum")]).rename_columns(["term", "n", "df"])
+
+        def counts(owner: np.ndarray, code: np.ndarray, names: Callable[[np.ndarray], pa.Array], width: int) -> None:
+            cells, n = np.unique(owner * width + code, return_counts=True)
+            found, place = np.unique(cells % max(width, 1), return_inverse=True)
+            n = np.bincount(place, n, len(found)).astype(np.int64)
+            held.append(pa.table({"term": names(found), "n": n, "df": np.bincount(place, minlength=len(found)).astype(np.int64)}))
+
+        for column in (b.column("__terms").slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            owner = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+            words = column.flatten().dictionary_encode()
+            code, names = words.indices.to_numpy(), words.dictionary
+            opens = pc.is_in(names, value_set=known).to_numpy(zero_copy_only=False)[code] if len(names) else np.zeros(0, bool)
+            counts(owner[opens], code[opens], lambda at: names.take(pa.array(at)), len(names))
+            if bigrams and len(code) > 1:
+                closes = np.ones(len(code), bool) if late is None else pc.is_in(names, value_set=late).to_numpy(zero_copy_only=False)[code]
+                at = np.flatnonzero(opens[:-1] & closes[1:] & (owner[:-1] == owner[1:]))
+                pairs, place = np.unique(code[at].astype(np.int64) * len(names) + code[at + 1], return_inverse=True)
+                spelt = pc.binary_join_element_wise(names.take(pa.array(pairs // len(names))), names.take(pa.array(pairs % len(names))), " ")
+                counts(owner[at], place, lambda at: spelt.take(pa.array(at)), len(pairs))
+            if sum(map(len, held)) > HELD:
+                held[:] = [summed_up(held)]
+                if len(held[0]) > HELD // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from summed_up(held).to_batches()
+
+    return run
+
+
 def term_model(df: DataFrame, column: str, dimension: int = DIMENSION, bigrams: bool = True, sketch: bool = False) -> TermModel:
     """The ``dimension`` most frequent terms: one aggregation by term, of terms counted in their rows.
 
     The driver gets ``dimension`` short rows and the number of documents. With ``sketch`` only the candidates of a
     frequent-items sketch are aggregated, if that is sure to give the same terms.
+
+    Words are counted first. A pair occurs no more often than either of its words, and sorts after its first one:
+    only pairs of a first word among the ``dimension`` most frequent ones with a word at least as frequent as the
+    last of these can be among the terms, so the other pairs are not counted.
     """
-    counted = term_counts(df, column, [], bigrams)
-    top = heavy_terms(terms(df, column, [], bigrams), dimension, "term", counted=counted) if sketch else None
+    top = heavy_terms(terms(df, column, [], bigrams), dimension, "term", counted=term_counts(df, column, [], bigrams)) if sketch else None
     if top is None:
-        totals = counted.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+        cut = term_arrays(df, column, [], bigrams=False)
+        # The outer form, as in ``terms``.
+        words = cut.select(F.explode_outer("__terms").alias("term")).groupBy("term").agg(F.count("term").alias("n"))
+        words = words.filter(F.col("term").isNotNull()).orderBy(F.desc("n"), "term").limit(SECONDS * dimension).collect()
+        first, last = [r["term"] for r in words[:dimension]], words[dimension - 1]["n"] if len(words) >= dimension else 0
+        second = [r["term"] for r in words if r["n"] >= last]
+        if len(words) == SECONDS * dimension == len(second):
+            second = None  # ties beyond the rows at hand: every word may come second
+        counted = cut.mapInArrow(_counting(first, second, bigrams), "term string, n long, df long")
+        totals = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
         top = totals.orderBy(F.desc("n"), "term").limit(dimension)
     n = df.agg(F.count(F.lit(1)).alias("n"))
     raw = F.log((1 + n.scalar()).cast("double") / (1 + F.col("df")).cast("double")) + 1
@@ -287,25 +345,39 @@ def domain_classifier(
 
 
 def drift_sides(
-    ref: DataFrame, column: str, key: Sequence[str], cur: DataFrame | None, n_splits: int, seed: int
+    ref: DataFrame, column: str, key: Sequence[str], cur: DataFrame | None, n_splits: int, seed: int, model: TermModel | None = None
 ) -> tuple[DataFrame, str]:
     """(rows with ``fold``, ``side`` and ``held_out``, key column).
 
     One table: folds dealt by length, one ``n_splits``-th of every fold is the other
-    side. Two tables: the second is the other side, half of each is held out.
+    side. Two tables: the second is the other side, half of each is held out. With a ``model`` the
+    texts become ``features``, stored before anything is dealt: the dealing reads its rows several times.
     """
     def named(df):
         return df.select(F.concat_ws(":", *key).alias("doc"), F.col(column).alias("text"))
 
+    def ready(df):
+        return df if model is None else feature_table(df, "text", [c for c in df.columns if c != "text"], model=model)
+
     if cur is None:
-        dealt = length_dealt_folds(named(ref), word_count(F.col("text")), n_splits, seed, ["doc"])
+        measured = ready(named(ref).withColumn("token_length", word_count(F.col("text"))))
+        dealt = length_dealt_folds(measured, F.col("token_length"), n_splits, seed, ["doc"])
         held = stratified_holdout(dealt.drop("token_length"), ["fold"], 1 / n_splits, seed, ["doc"])
         return held.withColumn("side", F.col("held_out")), "doc"
     both = named(ref).withColumn("fold", F.lit(0)).unionByName(named(cur).withColumn("fold", F.lit(1)))
-    both = both.withColumn("doc", F.concat_ws("|", "fold", "doc"))
+    both = ready(both.withColumn("doc", F.concat_ws("|", "fold", "doc")))
     return stratified_holdout(both, ["fold"], 0.5, seed, ["doc"]).withColumn("side", F.col("fold") == 1), "doc"
 
 
+def dealt_features(
+    ref: DataFrame, column: str, key: Sequence[str], cur: DataFrame | None, n_splits: int, seed: int, dimension: int = DIMENSION
+) -> tuple[TermModel, DataFrame]:
+    """The model of the texts of both sides, and (doc, fold, side, held_out, features), stored."""
+    model = term_model(ref if cur is None else ref.select(column).unionAll(cur.select(column)), column, dimension)
+    rows, doc = drift_sides(ref, column, key, cur, n_splits, seed, model)
+    return model, cut_lineage(rows.select(doc, "fold", "side", "held_out", "features"))
+
+
 @dataclass(frozen=True)
 class DriftResult:
     """One row of figures, every document's place, and the histograms of the places by side."""
@@ -327,11 +399,9 @@ def detect_drift(
     seed: int = 1234,
 ) -> DriftResult:
     """Mean-vector distance and cosine, how well a forest tells the folds apart, and the projections."""
-    rows, doc = drift_sides(ref, column, key, cur, n_splits, seed)
-    kept = [doc, "fold", "side", "held_out"]
-    model = term_model(rows, "text", dimension)
-    features = feature_table(rows, "text", kept, model=model)  # read by the means, the projection and the forest
-    means = mean_vector_drift(model.weights(features, kept), F.col("side"))
+    # Read by the means, the projection and the forest.
+    model, features = dealt_features(ref, column, key, cur, n_splits, seed, dimension)
+    means = mean_vector_drift(model.weights(features, ["doc", "side"]), F.col("side"))
     forest = domain_classifier(features, "fold", "held_out", trees, seed, binary=cur is not None)
     summary = means.withColumn("accuracy", forest.select("accuracy").scalar()).withColumn(
         "auc_score", forest.select("auc_score").scalar()

@@ -1,7 +1,13 @@
 """Tables as large ones are stored, and steps whose cost must not outgrow their input."""
 
+import math
+import random
+import re
+from collections import Counter
+
 from modsieve.catalog import QUERIES
 from modsieve.catalog.fixtures import arriving
+from modsieve.operators import drift
 
 
 def _documents(spark, n=40):
@@ -31,3 +37,44 @@ def test_stream_query_over_folders(spark, tmp_path):
     labels.repartition(2).write.parquet(f"{tmp_path}/labels.parquet")
     found = QUERIES["stream_track_facts"](spark, str(tmp_path)).collect()
     assert len(found) == 40 and {r.n_wrong for r in found} == {0}
+
+
+def _plain_model(texts, dimension):
+    """The most frequent words and pairs by plain counting, with the numbers of texts that have them."""
+    total, rows = Counter(), Counter()
+    for text in texts:
+        words = re.findall(r"\w{2,}", (text or "").lower())
+        found = Counter(words + [f"{a} {b}" for a, b in zip(words, words[1:])])
+        total.update(found)
+        rows.update(found.keys())
+    best = sorted(total, key=lambda t: (-total[t], t.encode()))[:dimension]
+    return {t: math.log((1 + len(texts)) / (1 + rows[t])) + 1 for t in best}
+
+
+def test_terms_are_the_most_frequent_words_and_pairs(spark):
+    rng = random.Random(3)
+    for n_words, dimension in ((6, 20), (60, 25), (4000, 30), (5, 500)):
+        texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), n_words)}" for _ in range(rng.randrange(30))) for _ in range(80)] + [None, "", "a b"]
+        df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+        model, want = drift.term_model(df, "t", dimension), _plain_model(texts, dimension)
+        assert model.terms == sorted(want)
+        assert all(math.isclose(i, want[t]) for t, i in zip(model.terms, model.idf))
+    tied = [f"a{i:03} b{i:03}" for i in range(300)]  # all equally frequent: only the order tells
+    df = spark.createDataFrame([(t,) for t in tied], "t string")
+    assert drift.term_model(df, "t", 7).terms == sorted(_plain_model(tied, 7))
+
+
+def test_rare_pairs_are_not_counted(spark, monkeypatch):
+    counted, plain = [], drift._counting
+    monkeypatch.setattr(drift, "_counting", lambda first, second, bigrams: counted.append((first, second)) or plain(first, second, bigrams))
+    rows = [(f"common words stay {'the same ' * 3}rare{i} seldom{i}",) for i in range(200)]
+    assert len(drift.term_model(spark.createDataFrame(rows, "t string"), "t", 5).terms) == 5
+    assert all(len(words) == 5 for words in counted[0])
+
+
+def test_terms_are_counted_before_the_folds_are_dealt(spark, monkeypatch):
+    seen, plain = [], drift.term_model
+    monkeypatch.setattr(drift, "term_model", lambda df, *a: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or plain(df, *a))
+    docs = spark.createDataFrame([(i, f"{'red green' if i % 2 else 'blue black'} word{i % 7}") for i in range(40)], "d long, t string")
+    assert drift.detect_drift(docs, "t", ["d"], dimension=6, trees=2).summary.count() == 1
+    assert "Window" not in seen[0] and "Join" not in seen[0]
