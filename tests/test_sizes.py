@@ -7,7 +7,7 @@ from collections import Counter
 
 from modsieve.catalog import QUERIES
 from modsieve.catalog.fixtures import arriving
-from modsieve.operators import drift
+from modsieve.operators import drift, triplet
 
 
 def _documents(spark, n=40):
@@ -78,3 +78,20 @@ def test_terms_are_counted_before_the_folds_are_dealt(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"{'red green' if i % 2 else 'blue black'} word{i % 7}") for i in range(40)], "d long, t string")
     assert drift.detect_drift(docs, "t", ["d"], dimension=6, trees=2).summary.count() == 1
     assert "Window" not in seen[0] and "Join" not in seen[0]
+
+
+def test_equal_triplets_go_before_their_texts_move(spark, monkeypatch):
+    texts = ["one", "two", "one", None, "two", "one", None, "three"]
+    rows = [(i, "r" if i < 20 else "q", texts[i % 8], i % 3 % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, rule string, body string, rule_violation int")
+    long = triplet.triplets_long(df, n_samples=3, n_negatives=2)
+    hands = {}
+    for r in long.collect():
+        hands.setdefault((r.anchor, r.positive, r.row_id, r.sample), {})[r.slot] = r.negative
+    want = {(a, p, h[0], h[1]) for (a, p, _, _), h in hands.items()}
+    assert len(want) < len(hands)
+    found = triplet.triplets(df, n_samples=3, n_negatives=2)
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "first(negative" not in plan  # no grouping carries the texts of triplets
