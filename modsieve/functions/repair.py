@@ -37,7 +37,8 @@ def repair_decoding(col: Column, passes: int = 2) -> Column:
     restored text is always shorter. Other text stays byte for byte.
     """
     for _ in range(passes):
-        col = rewrite_matches(col, WRONG, _decoded, hint=lambda c: c.rlike(_HINT))
+        # Bound to a name: a pass reads its text several times, which must not repeat the pass before.
+        col = F.transform(F.array(col), lambda c: rewrite_matches(c, WRONG, _decoded, hint=lambda t: t.rlike(_HINT)))[0]
     return col
 
 

@@ -5,8 +5,11 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from modsieve.catalog import QUERIES
 from modsieve.catalog.fixtures import arriving
+from modsieve.functions.repair import damage_decoding, repair_decoding
 from modsieve.operators import drift, triplet
 
 
@@ -95,3 +98,16 @@ def test_equal_triplets_go_before_their_texts_move(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == want
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "first(negative" not in plan  # no grouping carries the texts of triplets
+    twice = triplet.triplets(df.unionAll(df.where("row_id < 3")), n_samples=3, n_negatives=2).collect()
+    assert len(twice) == len(set(twice))
+
+
+
+def test_repair_reads_each_pass_once(spark):
+    texts = ["é € “naïve” 東京", "plain", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    wrong = df.select(damage_decoding(damage_decoding(F.col("t"))).alias("w"))
+    found = wrong.select(repair_decoding(F.col("w"), passes=2).alias("t"))
+    assert [r.t for r in found.collect()] == texts
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") + plan.count("RegExpExtractAll(") <= 2
