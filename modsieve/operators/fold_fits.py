@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modsieve.operators.partials import SUMS, emit, lists, summed
+from modsieve.operators.partials import ROWS, SUMS, emit, lists, pieces, summed
 
 HISTORY = 10
 ARMIJO, WOLFE = 1e-4, 0.9
@@ -41,7 +41,7 @@ def moments(rows: DataFrame, n: int, buckets: int) -> tuple[np.ndarray, ...]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((3 * (n + 1), buckets))
         heads = np.zeros((n + 1, 2))
-        for batch in batches:
+        for batch in pieces(batches):
             places, offsets = lists(batch.column("places"))
             counts, _ = lists(batch.column("counts"))
             label, fold = batch.column("label").to_numpy(), batch.column("fold").to_numpy()
@@ -64,7 +64,7 @@ def evaluate(rows: DataFrame, n: int, coefficients: np.ndarray, intercepts: np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_place, constant = shared.value
         table = np.zeros((n, buckets + 2))
-        for batch in batches:
+        for batch in pieces(batches):
             places, offsets = lists(batch.column("places"))
             counts, _ = lists(batch.column("counts"))
             label, fold = batch.column("label").to_numpy(), batch.column("fold").to_numpy()
@@ -177,11 +177,15 @@ def predicted(models: FoldModels, rows: DataFrame, places: str, counts: str, fol
 
     @F.arrow_udf("double")
     def probability(places: pa.Array, counts: pa.Array, fold: pa.Array) -> pa.Array:
-        at, offsets = lists(places)
-        times, _ = lists(counts)
+        def of(places: pa.Array, counts: pa.Array, k: np.ndarray) -> np.ndarray:
+            at, offsets = lists(places)
+            times, _ = lists(counts)
+            owner = np.repeat(np.arange(len(k)), np.diff(offsets))
+            margin = np.bincount(owner, shared.value.coefficients[k[owner], at] * times, len(k)) + shared.value.intercepts[k]
+            return np.exp(-np.logaddexp(0, -margin))
+
         k = fold.to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(k)), np.diff(offsets))
-        margin = np.bincount(owner, shared.value.coefficients[k[owner], at] * times, len(k)) + shared.value.intercepts[k]
-        return pa.array(np.exp(-np.logaddexp(0, -margin)))
+        cut = [slice(i, i + ROWS) for i in range(0, len(k), ROWS)]
+        return pa.array(np.concatenate([np.zeros(0), *[of(places[c], counts[c], k[c]) for c in cut]]))
 
     return probability(places, counts, fold)

@@ -5,12 +5,14 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from modsieve.catalog import QUERIES
 from modsieve.catalog.fixtures import arriving
 from modsieve.functions.repair import damage_decoding, repair_decoding
-from modsieve.operators import drift, triplet
+from modsieve.operators import drift, fold_fits, partials, triplet
 
 
 def _documents(spark, n=40):
@@ -102,6 +104,24 @@ def test_equal_triplets_go_before_their_texts_move(spark, monkeypatch):
     assert len(twice) == len(set(twice))
 
 
+def test_sparse_rows_are_expanded_in_small_pieces(spark, monkeypatch):
+    n, buckets = 3 * partials.ROWS + 5, 40
+    rng = np.random.default_rng(5)
+    places = [sorted(rng.choice(buckets, rng.integers(0, 6), replace=False).tolist()) for _ in range(n)]
+    batch = pa.RecordBatch.from_pydict({"places": pa.array(places, pa.list_(pa.int32())), "n": range(n)})
+    cut = list(partials.pieces(iter([batch.slice(3)])))
+    assert [b.num_rows for b in cut] == [partials.ROWS] * 3 + [2]
+    found = [p for b in cut for at, ends in [partials.lists(b.column("places"))] for p in np.split(at, ends[1:-1])]
+    assert [p.tolist() for p in found] == places[3:]
+
+    rows = [(i, p, [1.0 + (i + x) % 3 for x in p], i % 2 * 1.0, i % 3) for i, p in enumerate(places)]
+    df = spark.createDataFrame(rows, "id int, places array<int>, counts array<double>, label double, fold int").repartition(2)
+    models = fold_fits.fit_folds(df, 3, buckets, reg=0.01, steps=4)
+    scored = df.select("id", fold_fits.predicted(models, df, "places", "counts", "fold").alias("p")).collect()
+    for r in scored:
+        _, at, times, _, k = rows[r.id]
+        assert math.isclose(r.p, 1 / (1 + math.exp(-(models.coefficients[k][at] @ np.array(times) + models.intercepts[k]))), rel_tol=1e-9)
+
 
 def test_repair_reads_each_pass_once(spark):
     texts = ["é € “naïve” 東京", "plain", None]
