@@ -7,12 +7,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from modsieve.catalog import QUERIES
 from modsieve.catalog.fixtures import arriving
 from modsieve.functions.repair import damage_decoding, repair_decoding
-from modsieve.operators import drift, fold_fits, partials, triplet
+from modsieve.operators import drift, fold_fits, partials, reshape, triplet, validate
+from modsieve.operators.model import COUNTS, TrainParams
+from modsieve.plans.prepare import NamedTable
+from modsieve.plans.run import RunConfig, run
+from modsieve.spec import COLUMNS, REVIEWS, TableSpec
 
 
 def _documents(spark, n=40):
@@ -131,3 +136,42 @@ def test_repair_reads_each_pass_once(spark):
     assert [r.t for r in found.collect()] == texts
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") + plan.count("RegExpExtractAll(") <= 2
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_first_rows_by_keys_alone(spark, monkeypatch, most):
+    monkeypatch.setattr(validate, "MOST_LATER", most)
+    rows = [(i, f"r{i % 2}", None if i % 7 == 0 else f"b{i % 5}", f"s{i % 3}") for i in range(40)]
+    df = spark.createDataFrame(rows, "row_id long, rule string, body string, subreddit string")
+    least, texts = {}, {}
+    for i, rule, body, subreddit in rows:
+        least.setdefault((rule, body), i)
+        texts[rule, body] = min(texts.get((rule, body), subreddit), subreddit)
+    tagged = validate.tag_first(df, ["rule", "body"], ["row_id"])
+    assert {r.row_id for r in tagged.where("is_first").collect()} == set(least.values())
+    assert tagged.count() == 40
+    assert ("BroadcastHashJoin" in tagged._jdf.queryExecution().executedPlan().toString()) == (most > 0)
+    copies = validate.tag_first(df.drop("row_id"), ["rule", "body"], ["rule", "body", "subreddit"])  # no key: rows are numbered
+    firsts = copies.where("is_first").collect()
+    assert {(r.rule, r.body): r.subreddit for r in firsts} == texts and len(firsts) == len(texts) and copies.count() == 40
+
+
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_examples_of_checked_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(reshape, "MOST_FRESH", most)
+    names = [*COLUMNS.positive_examples, *COLUMNS.negative_examples]
+    rows = [(i % 30, f"b{i}", f"r{i % 3}", i % 2, f"b{i + 3}", f"x{i % 4}", None, f"x{i % 5}") for i in range(40)]  # ids repeat
+    df = spark.createDataFrame(rows, f"row_id long, body string, rule string, rule_violation int, {' string, '.join(names)} string")
+    want = reshape.zero_shot(df, REVIEWS)
+    got = reshape.zero_shot(df, REVIEWS, checked=True)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.where("slot > 0").count() > 10
+
+
+def test_stored_counts_hold_no_texts(spark, tmp_path):
+    spec = TableSpec({"row_id": "int64", "rule": "str", "body": "str", "rule_violation": "int64"}, ("rule", "body"), "rule_violation")
+    df = spark.range(60).select(F.col("id").alias("row_id"), F.lit("r").alias("rule"), F.concat(F.lit("word"), "id").alias("body"), (F.col("id") % 2).alias("rule_violation"))
+    tables = [NamedTable("t", df, spec), NamedTable("u", df.withColumn("rule_violation", F.lit(None).cast("long")), spec, "test")]
+    result = run(spark, tables, RunConfig(str(tmp_path), {"m": TrainParams(buckets=1 << 9, max_iter=2)}))
+    assert result.predictions.count() == 60
+    assert set(spark.read.parquet(f"{tmp_path}/counted_512").columns) == {"part", "row_id", "rule_violation", COUNTS}
