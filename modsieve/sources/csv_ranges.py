@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 from modsieve.session import cut_lineage
 
 WHOLE, HEAD, MIDDLE, TAIL = 0, 1, 2, 3
+# Fixed value: a task reads ranges of this many bytes in all, if that leaves tasks for all cores.
+TASK_BYTES = 32 << 20
 # Fixed value: a record of the usual CSV form, quotes only around fields or doubled inside.
 _FIELD = r'(?:[^",]*|"(?:[^"]|"")*")'
 RECORD = rf"(?s)\A{_FIELD}(?:,{_FIELD})*\r?\z"
@@ -27,8 +29,13 @@ SCHEMA = "file string, start long, crlf boolean, kind int, first boolean, record
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines by byte range, in the file's order inside each range."""
+    """Lines by byte range, in the file's order inside each range; small ranges share a task."""
     lines = spark.read.option("lineSep", "\n").text(path)
+    splits, most = lines.rdd.getNumPartitions(), 2 * spark.sparkContext.defaultParallelism
+    ranges = spark.read.format("binaryFile").load(path).select("length")  # sizes only, the files are not read
+    tasks = max(most, -(-(ranges.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    if tasks < splits:
+        lines = lines.coalesce(tasks)
     return lines.select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("range"),

@@ -79,3 +79,14 @@ def test_typed_columns_and_file(spark, tmp_path):
     read = tables.read_sources(spark, {"x": str(path)}, {"x": spec}, with_file=True)["x"]
     assert read.dtypes == [("n", "bigint"), ("t", "string"), ("file", "string")]
     assert sorted(map(tuple, read.collect())) == [(1, "x\ny", "x.csv"), (2, None, "x.csv")]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path, small_ranges):
+    write(tmp_path / "x.csv", random.Random(1), "\n", 4000)
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 2 * most
+    lines = csv_ranges._lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() <= most
+    assert lines.select("range").distinct().count() > 2 * most  # the ranges stay as they are
+    whole = tables.read_csv(spark, str(tmp_path), ranges=False)
+    assert sorted(map(str, tables.read_csv(spark, str(tmp_path)).collect())) == sorted(map(str, whole.collect()))
