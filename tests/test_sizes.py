@@ -14,7 +14,7 @@ from modsieve.catalog import QUERIES
 from modsieve.catalog.fixtures import arriving
 from modsieve.functions.repair import damage_decoding, repair_decoding
 from modsieve.operators import drift, fold_fits, partials, reshape, triplet, validate
-from modsieve.operators.model import COUNTS, TrainParams
+from modsieve.operators.model import COUNTS, TrainParams, score, train_text_classifier
 from modsieve.plans.prepare import NamedTable
 from modsieve.plans.run import RunConfig, run
 from modsieve.spec import COLUMNS, REVIEWS, TableSpec
@@ -175,3 +175,11 @@ def test_stored_counts_hold_no_texts(spark, tmp_path):
     result = run(spark, tables, RunConfig(str(tmp_path), {"m": TrainParams(buckets=1 << 9, max_iter=2)}))
     assert result.predictions.count() == 60
     assert set(spark.read.parquet(f"{tmp_path}/counted_512").columns) == {"part", "row_id", "rule_violation", COUNTS}
+
+
+def test_a_model_runs_once_per_row(spark):
+    df = spark.createDataFrame([("r", f"word{i % 3}", i % 2) for i in range(20)], "rule string, body string, rule_violation int")
+    fitted = train_text_classifier(df, TrainParams(buckets=1 << 9, max_iter=2))
+    found = score(fitted, df).filter(F.col("prediction").isNotNull()).groupBy("prediction").count()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(UDF(UDF(UDF(") == 1
