@@ -109,6 +109,33 @@ def test_equal_triplets_go_before_their_texts_move(spark, monkeypatch):
     assert len(twice) == len(set(twice))
 
 
+@pytest.mark.parametrize("unique", [False, True])
+def test_texts_of_triplets_move_once_a_block(spark, monkeypatch, unique):
+    rows = [(f"k{i}", "r" if i % 5 else "q", None if i == 7 else f"text {i}" * (i % 3), int(i % 4 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id string, rule string, body string, rule_violation int").repartition(3)
+    body, rule = {r[0]: r[2] for r in rows}, {r[0]: r[1] for r in rows}
+    dealt = triplet.deal(df.drop("body"), n_samples=3, n_negatives=4).collect()
+    want = sorted(((d.row_id, d.sample, d.slot, rule[d.row_id], body[d.row_id], body[d.card]) for d in dealt), key=str)
+    hands = {}
+    for d in dealt:
+        hands.setdefault((d.row_id, d.sample), {})[d.slot] = body[d.card]
+    wide = {(rule[k], body[k], *[h[i] for i in range(4)]) for (k, _), h in hands.items()}
+    for settings in ({}, {"CHUNK": 4, "BLOCK_CARDS": 6, "OUT_BYTES": 40}):
+        for name, value in settings.items():
+            monkeypatch.setattr(triplet, name, value)
+        long = triplet.triplets_long(df, n_samples=3, n_negatives=4)
+        assert sorted(map(tuple, long.collect()), key=str) == want
+        found = triplet.triplets(df, n_samples=3, n_negatives=4, unique_texts=unique)
+        got = [tuple(r) for r in found.collect()]
+        assert set(got) == wide and (unique or len(got) == len(wide))
+        for made in (long, found):
+            plan = made._jdf.queryExecution().optimizedPlan().toString()
+            last = plan.index("MapInArrow")  # nothing moves behind it, and no grouping or join before it has a row's negatives
+            assert "Repartition" not in plan[:last] and "Aggregate" not in plan[:last] and "negative" not in plan[last:].split("\n", 1)[1]
+    none = triplet.triplets_long(df.where("rule_violation = 0"), n_samples=3, n_negatives=4)
+    assert none.count() == 0
+
+
 def test_sparse_rows_are_expanded_in_small_pieces(spark, monkeypatch):
     n, buckets = 3 * partials.ROWS + 5, 40
     rng = np.random.default_rng(5)
