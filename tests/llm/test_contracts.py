@@ -3,10 +3,12 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from modsieve.llm import decontaminate, embedding, fm_index, jaccard, repeats, secrets, suffix_array
+from modsieve.llm.components import components
 
 DOCS = "doc_id bigint, text string, n_words string, spans string, id int"
 
@@ -118,6 +120,41 @@ def test_jaccard(docs, texts):
     assert {r[0]: (r[1], r[2]) for r in jaccard.jaccard_classes(docs, size=2, percent=60).collect()} == want
 
 
+def test_jaccard_samples_hold_enough_of_linked_sets():
+    """``both`` shingles in common, ``a`` and ``b`` others, all of which come first in the worst case."""
+    both, a, b = np.arange(1, 300)[:, None, None], np.arange(0, 60)[None, :, None], np.arange(0, 60)[None, None, :]
+    for percent in range(51, 101):
+        first, second = both + a + 0 * b, both + b + 0 * a
+        need = jaccard.sample_size(first, percent) - jaccard.missing(first, percent)
+        held = (need >= 1) & (a + need <= jaccard.sample_size(first, percent)) & (b + need <= jaccard.sample_size(second, percent))
+        assert held[100 * both >= percent * (both + a + b)].all()
+
+
+def test_jaccard_leaves_out_sets_with_common_phrases(spark, monkeypatch):
+    rng, seen, plain = np.random.default_rng(4), [], jaccard._small
+    monkeypatch.setattr(jaccard, "_small", lambda keys: seen.append(keys.count()) or plain(keys))
+    phrase = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**6, 10))
+    pool = [phrase() for _ in range(20)]
+    texts = [" ".join(pool[rng.integers(20)] if rng.random() < 0.3 else phrase() for _ in range(40)) for _ in range(50)]
+    rows = list(enumerate([*texts, texts[3] + " end", texts[5].replace("w1", "x1")]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r[0]: (r[1], r[2]) for r in jaccard.jaccard_classes(df).collect()} == brute.jaccard(rows)
+    assert seen[0] < 10  # most share more shingles with others than they may lack, but not enough of the sample
+
+
+def test_links_are_made_once_for_their_components(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    links = spark.createDataFrame([(1, 2), (2, 3), (5, 5), (7, 9), (None, 4)], "a long, b long").mapInPandas(count, "a long, b long")
+    found = {r.node: r.component for r in components(links).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 5: 5, 7: 7, 9: 7} and made.value == 5
+
+
 def test_jaccard_of_sets_that_differ_by_chance(spark):
     """Chains of sets around the threshold, small and large, where pivots cover only some."""
     rng = random.Random(8)
