@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import brute
@@ -11,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from modsieve.llm import html_text, licences, mixing, quality
+from modsieve.llm import html_text, jaccard, licences, mixing, quality
+from modsieve.session import cut_lineage, release, shared_dir
 
 
 def page(i, body, head="<header><a href='/'>Home</a></header>"):
@@ -323,3 +325,32 @@ def test_near_copies_keep_every_text_of_an_id(spark, sf_dir):
     kept = [tuple(r) for r in got.collect()]
     assert sorted(map(str, kept))[:3] == sorted(map(str, [(1, a, "x"), (2, b, "x"), (3, c, "x")]))
     assert (None, a, "x") in kept and len(kept) == 5
+
+
+def test_near_copies_store_few_sets(spark, sf_dir, monkeypatch):
+    """Documents that share a third of their phrases with others, and one near copy."""
+    rng, seen, plain = random.Random(8), [], jaccard._small
+    monkeypatch.setattr(jaccard, "_small", lambda keys: seen.append(keys.count()) or plain(keys))
+    phrase = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(10))
+    pool = [phrase() for _ in range(15)]
+    texts = [" ".join(rng.choice(pool) if rng.random() < 0.33 else phrase() for _ in range(40)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate([*texts, f"{texts[7]} end"])), "doc_id long, text string")
+    got = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()}
+    assert got == set(range(40)) and seen[0] < 10
+
+
+def test_tables_that_nothing_needs_leave_the_disk(spark):
+    def files():
+        return [f for d, _, names in os.walk(shared_dir(spark)) for f in names if f.startswith("part-")]
+
+    release(spark)
+    time.sleep(2)
+    before = len(files())
+    kept = cut_lineage(spark.range(100).repartition(7))
+    assert len(files()) == before + 7 and kept.count() == 100
+    del kept
+    release(spark)
+    until = time.time() + 20
+    while len(files()) > before and time.time() < until:
+        time.sleep(0.2)
+    assert len(files()) <= before
