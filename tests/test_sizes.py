@@ -10,12 +10,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import modsieve.plans.run as plan
 from modsieve.catalog import QUERIES
 from modsieve.catalog.fixtures import arriving
 from modsieve.functions.repair import damage_decoding, repair_decoding
 from modsieve.operators import drift, fold_fits, partials, reshape, triplet, validate
 from modsieve.operators.model import COUNTS, TrainParams, score, train_text_classifier
-from modsieve.plans.prepare import NamedTable
+from modsieve.plans.prepare import NamedTable, Splits
 from modsieve.plans.run import RunConfig, run
 from modsieve.spec import COLUMNS, REVIEWS, TableSpec
 
@@ -204,6 +205,26 @@ def test_stored_counts_hold_no_texts(spark, tmp_path):
     assert set(spark.read.parquet(f"{tmp_path}/counted_512").columns) == {"part", "row_id", "rule_violation", COUNTS}
 
 
+def test_rows_become_counts_in_small_batches(spark, tmp_path, monkeypatch):
+    """The memory of the counting follows its batches, whose size another function in the same job tells."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual, sizes = spark.conf.get(setting), set()
+
+    @F.arrow_udf("int")
+    def seen(keys: pa.Array) -> pa.Array:
+        return pa.array([len(keys)] * len(keys), pa.int32())
+
+    def write(counted, *_, **__):
+        sizes.update(r[0] for r in counted.select(seen("row_id")).distinct().collect())
+        counted.write.parquet(f"{tmp_path}/counted")
+        return f"{tmp_path}/counted"
+
+    monkeypatch.setattr(plan, "write_stage", write)
+    df = spark.range(1000).coalesce(1).select(F.col("id").alias("row_id"), F.lit("r").alias("rule"), F.concat(F.lit("word"), "id").alias("body"), F.lit("train").alias("part"))
+    assert plan._counts(Splits(df), 1 << 9, "").rows.count() == 1000 and max(sizes) <= 256
+    assert spark.conf.get(setting) == usual
+
+
 def test_a_model_runs_once_per_row(spark):
     df = spark.createDataFrame([("r", f"word{i % 3}", i % 2) for i in range(20)], "rule string, body string, rule_violation int")
     fitted = train_text_classifier(df, TrainParams(buckets=1 << 9, max_iter=2))
