@@ -278,7 +278,8 @@ def principal_axes(features: DataFrame, tolerance: float = 1e-10, passes: int =
             break
         basis = np.hstack([basis, fresh])
     axes = np.zeros((width, 2))
-    axes[:, : lead.shape[1]] = lead * (spread > 1e-12 * scale)
+    rounding = 1e-14 * (mean @ mean)  # of second moments less the mean's: equal vectors leave no more than that
+    axes[:, : lead.shape[1]] = lead * (spread > max(1e-12 * scale, rounding))
     signs = np.sign(axes[np.abs(axes).argmax(axis=0), [0, 1]])
     return Projection(mean.tolist(), (axes * np.where(signs == 0, 1, signs)).tolist())
 
